@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from campaign_engine.schemas import CAT_COLS, INT_COLS, NUMERIC_COLS, WINSOR_COLS
 from campaign_engine.sources.client_profile import client_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +110,101 @@ TABLES = {
     "scored": _SCORED,
     "scored_profile": [*_PROFILE, *_SCORED, *_SCORED_PROFILE],
 }
+
+
+# The cleaning steps as SQL, each on top of the former one.
+def title_sql(c: str) -> str:
+    """Title case of one lower-case pass, letter by letter."""
+    return (
+        f"list_aggregate(list_transform(range(1, CAST(length({c}) AS BIGINT) + 1), lambda i: "
+        f"CASE WHEN i > 1 AND regexp_matches(substr({c}, CAST(i AS BIGINT) - 1, 1), '\\p{{L}}') "
+        f"THEN lower(substr({c}, CAST(i AS BIGINT), 1)) ELSE upper(substr({c}, CAST(i AS BIGINT), 1)) END), "
+        f"'string_agg', '')"
+    )
+
+
+def strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+
+
+def tokens_sql(c: str, tokens: str = "'', 'nan', 'None'") -> str:
+    return f"CASE WHEN {strip_sql(c)} NOT IN ({tokens}) THEN {strip_sql(c)} END"
+
+
+def number_sql(c: str) -> str:
+    return (
+        f"CASE WHEN regexp_matches({strip_sql(c)}, '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$') "
+        f"THEN TRY_CAST({strip_sql(c)} AS DOUBLE) END"
+    )
+
+
+def gender_sql(c: str) -> str:
+    return (
+        f"CASE lower({c}) WHEN 'male' THEN 'Male' WHEN 'm' THEN 'Male' WHEN 'female' THEN 'Female' "
+        f"WHEN 'f' THEN 'Female' WHEN 'unknown' THEN 'Unknown' ELSE {title_sql(c)} END"
+    )
+
+
+NORMALIZED = [
+    f"""stripped AS (
+  SELECT * REPLACE ({tokens_sql('age')} AS age, {tokens_sql('gender')} AS gender, {tokens_sql('country')} AS country,
+    {tokens_sql('acquisition_channel')} AS acquisition_channel, {tokens_sql('subscription_type')} AS subscription_type,
+    {tokens_sql('payment_method')} AS payment_method)
+  FROM client_profile)""",
+    f"""normalized AS (
+  SELECT * REPLACE ({gender_sql('gender')} AS gender, {number_sql('age')} AS age) FROM stripped)""",
+]
+
+
+def mode_sql(c: str, table: str) -> str:
+    return f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+_PLAIN = [c for c in NUMERIC_COLS if c != "total_spent"]
+_BIGINTS = {"total_visits", "support_tickets", "delivery_delay_days"}
+IMPUTED = [
+    """group_filled AS (
+  SELECT n.* REPLACE (coalesce(n.total_spent, g.med) AS total_spent)
+  FROM normalized n LEFT JOIN (SELECT subscription_type AS grp, median(total_spent) AS med FROM normalized
+    WHERE subscription_type IS NOT NULL GROUP BY subscription_type) g ON n.subscription_type = g.grp)""",
+    "imputed AS (\n  SELECT * REPLACE (\n    "
+    + ",\n    ".join(
+        ["coalesce(total_spent, (SELECT median(total_spent) FROM group_filled)) AS total_spent"]
+        + [f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM normalized)) AS {c}" for c in _PLAIN]
+        + [f"coalesce({c}, {mode_sql(c, 'normalized')}) AS {c}" for c in CAT_COLS]
+    )
+    + ") FROM group_filled)",
+]
+
+
+def fence_sql(cols: list[str], table: str, name: str = "fences") -> str:
+    """One row: <c>_q1, <c>_q2, <c>_q3, <c>_lo, <c>_hi."""
+    quartiles = ", ".join(
+        f"quantile_cont({c}, {p}) AS {c}_q{i}" for c in cols for i, p in ((1, 0.25), (2, 0.5), (3, 0.75))
+    )
+    ends = ", ".join(
+        f"{c}_q1 - 1.5::DOUBLE * ({c}_q3 - {c}_q1) AS {c}_lo, {c}_q3 + 1.5::DOUBLE * ({c}_q3 - {c}_q1) AS {c}_hi"
+        for c in cols
+    )
+    doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"{name} AS (SELECT *, {ends} FROM (SELECT {quartiles} FROM (SELECT {doubles} FROM {table})))"
+
+
+WINSORIZED = [
+    fence_sql(WINSOR_COLS, "imputed"),
+    "winsorized AS (\n  SELECT imputed.* REPLACE (\n    "
+    + ",\n    ".join(
+        f"CASE WHEN {c}_q3 = {c}_q1 THEN {c} ELSE least(greatest({c}, {c}_lo), {c}_hi) END AS {c}" for c in WINSOR_COLS
+    )
+    + ") FROM imputed, fences)",
+]
+CLEAN = [
+    "cleaned AS (\n  SELECT * REPLACE ("
+    + ", ".join(f"CAST(round_even({c}, 0) AS BIGINT) AS {c}" for c in INT_COLS)
+    + "),\n    900.0::DOUBLE AS fx_usd_to_clp, round(total_spent / 900, 2) AS total_spent_usd,\n"
+    "    round(avg_order_value / 900, 2) AS avg_order_value_usd FROM winsorized)"
+]
+TABLES["normalized"] = [*_PROFILE, *NORMALIZED]
+TABLES["imputed"] = [*TABLES["normalized"], *IMPUTED]
+TABLES["winsorized"] = [*TABLES["imputed"], *WINSORIZED]
+TABLES["cleaned"] = [*TABLES["winsorized"], *CLEAN]
