@@ -123,6 +123,11 @@ def title_sql(c: str) -> str:
     )
 
 
+def rnd(x: str, places: int) -> str:
+    """Half-even rounding."""
+    return f"(round_even(({x}) * 1{'0' * places}.0::DOUBLE, 0) / 1{'0' * places}.0::DOUBLE)"
+
+
 def strip_sql(c: str) -> str:
     return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 
@@ -160,8 +165,8 @@ def mode_sql(c: str, table: str) -> str:
     return f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
 
 
+CLEAN_NUMBERS = [c for c in NUMERIC_COLS if c != "age"]
 _PLAIN = [c for c in NUMERIC_COLS if c != "total_spent"]
-_BIGINTS = {"total_visits", "support_tickets", "delivery_delay_days"}
 IMPUTED = [
     """group_filled AS (
   SELECT n.* REPLACE (coalesce(n.total_spent, g.med) AS total_spent)
@@ -201,8 +206,8 @@ WINSORIZED = [
 CLEAN = [
     "cleaned AS (\n  SELECT * REPLACE ("
     + ", ".join(f"CAST(round_even({c}, 0) AS BIGINT) AS {c}" for c in INT_COLS)
-    + "),\n    900.0::DOUBLE AS fx_usd_to_clp, round(total_spent / 900, 2) AS total_spent_usd,\n"
-    "    round(avg_order_value / 900, 2) AS avg_order_value_usd FROM winsorized)"
+    + "),\n    900.0::DOUBLE AS fx_usd_to_clp, " + rnd("total_spent / 900", 2) + " AS total_spent_usd,\n"
+    "    " + rnd("avg_order_value / 900", 2) + " AS avg_order_value_usd FROM winsorized)"
 ]
 TABLES["normalized"] = [*_PROFILE, *NORMALIZED]
 TABLES["imputed"] = [*TABLES["normalized"], *IMPUTED]

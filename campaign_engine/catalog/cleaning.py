@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from campaign_engine.catalog.base import profile, query, strip_sql, title_sql, tokens_sql, with_tables
+from campaign_engine.catalog.base import fence_sql, profile, query, rnd, strip_sql, title_sql, tokens_sql, with_tables
+from campaign_engine.functions.numeric import round_places
 from campaign_engine.operators import encode, impute, outliers
 from campaign_engine.operators.aggregate import group_profile
 from campaign_engine.operators.columns import normalize_text, round_cols
@@ -117,8 +118,6 @@ _FENCES = "normalized, fences"
 
 
 def _normalized_fences(body: str) -> str:
-    from campaign_engine.catalog.base import fence_sql
-
     return with_tables(body, fence_sql(NUMERIC_COLS, "normalized"), start="normalized")
 
 
@@ -126,14 +125,14 @@ def _normalized_fences(body: str) -> str:
     "outlier_report",
     _normalized_fences(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", {_count_outside(c, c)} AS outliers, round(any_value({c}_lo), 4) AS low, "
-            f"round(any_value({c}_hi), 4) AS high FROM {_FENCES}"
+            f"SELECT '{c}' AS \"column\", {_count_outside(c, c)} AS outliers, {rnd(f'any_value({c}_lo)', 6)} AS low, "
+            f"{rnd(f'any_value({c}_hi)', 6)} AS high FROM {_FENCES}"
             for c in NUMERIC_COLS
         )
     ),
 )
 def _outlier_report(spark, sf_dir):
-    return round_cols(outliers.outlier_report(normalized(spark, sf_dir), NUMERIC_COLS), ["low", "high"], 4)
+    return round_cols(outliers.outlier_report(normalized(spark, sf_dir), NUMERIC_COLS), ["low", "high"], 6)
 
 
 @query(
@@ -153,8 +152,8 @@ _BOX_COLS = ["total_spent", "avg_order_value", "lifetime_value", "total_visits",
     "boxplot_stats",
     _normalized_fences(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", round(any_value({c}_q1), 4) AS q1, "
-            f"round(any_value({c}_q2), 4) AS median, round(any_value({c}_q3), 4) AS q3, "
+            f"SELECT '{c}' AS \"column\", {rnd(f'any_value({c}_q1)', 6)} AS q1, "
+            f"{rnd(f'any_value({c}_q2)', 6)} AS median, {rnd(f'any_value({c}_q3)', 6)} AS q3, "
             f"CAST(min({c}) FILTER (WHERE {c} BETWEEN {c}_lo AND {c}_hi) AS DOUBLE) AS whisker_low, "
             f"CAST(max({c}) FILTER (WHERE {c} BETWEEN {c}_lo AND {c}_hi) AS DOUBLE) AS whisker_high, "
             f"{_count_outside(c, c)} AS outliers FROM {_FENCES}"
@@ -163,7 +162,7 @@ _BOX_COLS = ["total_spent", "avg_order_value", "lifetime_value", "total_visits",
     ),
 )
 def _boxplot(spark, sf_dir):
-    return round_cols(outliers.boxplot_stats(normalized(spark, sf_dir), _BOX_COLS), ["q1", "median", "q3"], 4)
+    return round_cols(outliers.boxplot_stats(normalized(spark, sf_dir), _BOX_COLS), ["q1", "median", "q3"], 6)
 
 
 def _codes_sql(table: str) -> str:
@@ -240,8 +239,6 @@ _NOTEBOOK = [
 
 
 def _notebook_sql() -> str:
-    from campaign_engine.catalog.base import fence_sql
-
     clipped = {c: f"least(greatest(CAST({c} AS DOUBLE), {c}_lo), {c}_hi)" for c in WINSOR_COLS}
     numbers = []
     for c in NUMERIC_COLS:
@@ -249,7 +246,7 @@ def _notebook_sql() -> str:
         if c in INT_COLS:
             value = f"CAST(round_even({value}, 0) AS BIGINT)"
         if c not in UNROUNDED_COLS and c not in INT_COLS:
-            value = f"round({value}, 3)"
+            value = rnd(value, 3)
         numbers.append(f"{value} AS {c}")
     gender = f"coalesce({title_sql('strip_gender')}, '')"
     return with_tables(
@@ -274,7 +271,7 @@ def _clean_notebook(spark, sf_dir):
 @query(
     "agg_country_sub",
     with_tables(
-        "SELECT country, subscription_type, round(avg(total_spent), 4) AS total_spent_mean, "
+        f"SELECT country, subscription_type, {rnd('avg(total_spent)', 4)} AS total_spent_mean, "
         "max(total_spent) AS total_spent_max, count(*) AS customer_count FROM winsorized "
         "GROUP BY country, subscription_type",
         start="winsorized",
@@ -287,7 +284,7 @@ def country_subscription(spark, sf_dir):
         df,
         ["country", "subscription_type"],
         {
-            "total_spent_mean": F.round(F.avg("total_spent"), 4),
+            "total_spent_mean": round_places(F.avg("total_spent"), 4),
             "total_spent_max": F.max("total_spent"),
             "customer_count": F.count("*"),
         },

@@ -22,6 +22,11 @@ def round_int(c: Column) -> Column:
     return F.rint(c).cast("long")
 
 
+def round_places(c: Column, places: int) -> Column:
+    """Half-even rounding to decimal places: scale, round, scale back."""
+    return F.rint(c * float(10**places)) / float(10**places)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """Quotient, or 0 where the divisor is 0."""
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaign_engine.functions.numeric import known
+from campaign_engine.functions.numeric import known, round_places
 from campaign_engine.operators.order_stats import EXACT_ROWS, column_quantiles, running_totals
 from campaign_engine.operators.shape import long_values, rows_from
 
@@ -159,7 +159,7 @@ def corr_spearman(df: DataFrame, cols: Sequence[str], places: int = 2, limit: in
     def correlate(ranks: DataFrame, group: Sequence[tuple[str, str]]) -> DataFrame:
         row = ranks.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(group)])
         structs = [
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.round(f"r{i}", places).alias("rho"))
+            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), round_places(F.col(f"r{i}"), places).alias("rho"))
             for i, (a, b) in enumerate(group)
         ]
         return row.select(F.inline(F.array(*structs)))

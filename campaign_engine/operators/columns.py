@@ -87,7 +87,7 @@ def trunc_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def round_cols(df: DataFrame, cols: Sequence[str], places: int) -> DataFrame:
-    return _on(df, cols, lambda c: F.round(c, places))
+    return _on(df, cols, lambda c: numeric.round_places(c, places))
 
 
 def narrow_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:

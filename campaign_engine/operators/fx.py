@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from campaign_engine.functions.numeric import round_places
 from campaign_engine.schemas import FX_BASE, FX_FALLBACK, FX_QUOTE, FX_TTL_HOURS
 
 
@@ -41,7 +42,7 @@ def fx_enrich(df: DataFrame, rate: Column, cols: Sequence[str], base: str = FX_B
     """Add the rate and each money column divided by it, rounded to cents."""
     name = f"fx_{base}_to_{quote}".lower()
     out = df.withColumn(name, rate)
-    return out.withColumns({f"{c}_{base.lower()}": F.round(F.col(c) / F.col(name), 2) for c in cols if c in df.columns})
+    return out.withColumns({f"{c}_{base.lower()}": round_places(F.col(c) / F.col(name), 2) for c in cols if c in df.columns})
 
 
 def rate_column(rates: DataFrame | None, as_of: datetime | None) -> Column:

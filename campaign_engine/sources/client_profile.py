@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campaign_engine.functions.text import lookup
+
 
 # The five order priorities by their leading digit. A numeric minimum keeps the aggregation
 # hash-based; a minimum of strings would sort all orders first.

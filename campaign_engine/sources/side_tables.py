@@ -14,13 +14,14 @@ def dictionary_rows(objects: DataFrame, col: str = "value") -> DataFrame:
     Keys with fewer than three parts, values that are not strings and broken objects are dropped.
     """
     parsed = objects.select(F.try_parse_json(col).alias("v"))
-    names = F.explode(F.json_object_keys(F.to_json("v"))).alias("key")
-    pairs = parsed.filter(F.schema_of_variant("v").startswith("OBJECT")).select("v", names)
+    pairs = parsed.lateralJoin(objects.sparkSession.tvf.variant_explode(F.col("v").outer()))
     parts = F.split("key", r"\|", 3)
-    value = F.from_json(F.to_json("v"), "map<string,string>")[F.col("key")]
-    kind = F.from_json(F.to_json("v"), "map<string,variant>")[F.col("key")]
-    return pairs.filter((F.size(parts) == 3) & (F.schema_of_variant(kind) == "STRING")).select(
-        parts[0].alias("src"), parts[1].alias("tgt"), parts[2].alias("text"), value.alias("translated")
+    is_text = F.schema_of_variant("value") == "STRING"
+    return pairs.filter((F.size(parts) == 3) & is_text).select(
+        parts[0].alias("src"),
+        parts[1].alias("tgt"),
+        parts[2].alias("text"),
+        F.try_variant_get("value", "$", "string").alias("translated"),
     )
 
 
@@ -29,14 +30,6 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return dictionary_rows(spark.read.text(path, wholetext=True))
 
 
-def dictionary_json(dictionary: DataFrame) -> DataFrame:
-    """One JSON object per language pair, in the stored form of the dictionary."""
-    entry = F.struct(F.concat_ws("|", "src", "tgt", "text").alias("key"), F.col("translated").alias("value"))
-    return dictionary.groupBy("src", "tgt").agg(
-        F.to_json(F.map_from_entries(F.array_sort(F.collect_set(entry)))).alias("value")
-    )
-
-
 def rate_rows(objects: DataFrame, col: str = "value") -> DataFrame:
     """(base, quote, rate, as_of, source) from cache objects; broken ones give no row."""
     kind = "struct<fx_usd_clp:struct<rate:double,source:string,cached_at:string>>"
