@@ -271,7 +271,7 @@ def _clean_notebook(spark, sf_dir):
 @query(
     "agg_country_sub",
     with_tables(
-        f"SELECT country, subscription_type, {rnd('avg(total_spent)', 4)} AS total_spent_mean, "
+        f"SELECT country, subscription_type, {rnd('avg(total_spent)', 6)} AS total_spent_mean, "
         "max(total_spent) AS total_spent_max, count(*) AS customer_count FROM winsorized "
         "GROUP BY country, subscription_type",
         start="winsorized",
@@ -284,7 +284,7 @@ def country_subscription(spark, sf_dir):
         df,
         ["country", "subscription_type"],
         {
-            "total_spent_mean": round_places(F.avg("total_spent"), 4),
+            "total_spent_mean": round_places(F.avg("total_spent"), 6),
             "total_spent_max": F.max("total_spent"),
             "customer_count": F.count("*"),
         },

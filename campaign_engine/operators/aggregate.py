@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from campaign_engine.functions.numeric import known, round_places
 from campaign_engine.operators.order_stats import EXACT_ROWS, column_quantiles, running_totals
@@ -125,24 +126,36 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
     )
 
 
-def average_ranks(df: DataFrame, col: str, limit: int = EXACT_ROWS) -> DataFrame:
-    """(value, rank): the mean 1-based rank of all rows that share a value."""
-    v = F.col(col).cast("double").alias("value")
-    counts = df.select(v).filter(known(F.col("value")).isNotNull()).groupBy("value").agg(F.count("*").alias("n"))
-    return running_totals(counts, "value", ["n"], limit=limit).select(
-        "value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("rank")
-    )
-
+def average_ranks(df: DataFrame, rankings: Mapping[str, Column], limit: int = EXACT_ROWS) -> tuple[DataFrame, dict[str, int]]:
+    """(variable, value, rank) and the number of values per ranking.
 
-def _ranked(df: DataFrame, cols: Sequence[str], limit: int) -> DataFrame:
-    """Replace each column by its average rank."""
-    out = df
-    for c in cols:
-        ranks = average_ranks(df, c, limit).select(F.col("value").alias("_v"), F.col("rank").alias(f"{c}_rank"))
-        if ranks.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES:
-            ranks = F.broadcast(ranks)
-        out = out.join(ranks, F.col(c).cast("double") == F.col("_v"), "left").drop("_v")
-    return out.select(*[F.col(f"{c}_rank").alias(c) for c in cols])
+    The rank is the mean 1-based rank of all rows that share a value; nulls have none. Equal values are
+    counted before they are sorted. All rankings with up to ``limit`` values share one window per ranking;
+    the others are summed up in value ranges.
+    """
+    wide = df.select(*[v.cast("double").alias(name) for name, v in rankings.items()])
+    values = wide.unpivot([], list(rankings), "variable", "value").filter(known(F.col("value")).isNotNull())
+    counts = values.groupBy("variable", "value").agg(F.count("*").alias("n"))
+    sizes = {r["variable"]: r["count"] for r in counts.groupBy("variable").count().collect()}  # one row per ranking
+    big = [name for name, n in sizes.items() if n > limit]
+    w = Window.partitionBy("variable").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = counts.filter(~F.col("variable").isin(big)) if big else counts
+    totals = totals.withColumn("cum_n", F.sum("n").over(w))
+    for name in big:
+        totals = totals.unionByName(running_totals(counts.filter(F.col("variable") == name), "value", ["n"], limit=limit))
+    return totals.select("variable", "value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("rank")), sizes
+
+
+def _ranked(df: DataFrame, rankings: Mapping[str, Column], limit: int) -> DataFrame:
+    """One column of ranks per ranking."""
+    ranks, sizes = average_ranks(df, rankings, limit)
+    out = df.select(*[known(v.cast("double")).alias(name) for name, v in rankings.items()])
+    for name in rankings:
+        one = ranks.filter(F.col("variable") == name).select(F.col("value").alias("_v"), F.col("rank").alias("_r"))
+        if sizes.get(name, 0) <= BROADCAST_VALUES:
+            one = F.broadcast(one)
+        out = out.join(one, F.col(name) == F.col("_v"), "left").withColumn(name, F.col("_r")).drop("_v", "_r")
+    return out
 
 
 def corr_spearman(df: DataFrame, cols: Sequence[str], places: int = 2, limit: int = EXACT_ROWS) -> DataFrame:
@@ -150,28 +163,24 @@ def corr_spearman(df: DataFrame, cols: Sequence[str], places: int = 2, limit: in
 
     Columns without nulls share one ranking; a pair with nulls is ranked on its own complete rows.
     """
-    nulls = df.agg(*[F.count_if(known(F.col(c).cast("double")).isNull()).alias(c) for c in cols]).first()
-    full = [c for c in cols if not nulls[c]]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    shared = [(a, b) for a, b in pairs if a in full and b in full]
-    parts: list[DataFrame] = []
-
-    def correlate(ranks: DataFrame, group: Sequence[tuple[str, str]]) -> DataFrame:
-        row = ranks.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(group)])
-        structs = [
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), round_places(F.col(f"r{i}"), places).alias("rho"))
-            for i, (a, b) in enumerate(group)
-        ]
-        return row.select(F.inline(F.array(*structs)))
-
-    if shared:
-        parts.append(correlate(_ranked(df.select(*full), full, limit), shared))
-    for a, b in pairs:
-        if (a, b) not in shared:
-            both = [a] if a == b else [a, b]
-            complete = df.select(*both).na.drop()
-            parts.append(correlate(_ranked(complete, both, limit), [(a, b)]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    values = {c: known(F.col(c).cast("double")) for c in cols}
+    nulls = df.agg(*[F.count_if(v.isNull()).alias(c) for c, v in values.items()]).first()
+    rankings: dict[str, Column] = {}
+    pairs = []
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            names = [a, b]
+            if nulls[a] or nulls[b]:
+                both = values[a].isNotNull() & values[b].isNotNull()
+                names = [f"{c}__{a}__{b}" for c in (a, b)]
+                rankings |= {n: F.when(both, values[c]) for n, c in zip(names, (a, b))}
+            else:
+                rankings |= {a: values[a], b: values[b]}
+            pairs.append((a, b, *names))
+    ranks = _ranked(df, rankings, limit)
+    row = ranks.agg(*[F.corr(x, y).alias(f"r{i}") for i, (_, _, x, y) in enumerate(pairs)])
+    structs = [
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), round_places(F.col(f"r{i}"), places).alias("rho"))
+        for i, (a, b, _, _) in enumerate(pairs)
+    ]
+    return row.select(F.inline(F.array(*structs)))

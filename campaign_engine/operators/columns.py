@@ -87,7 +87,9 @@ def trunc_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def round_cols(df: DataFrame, cols: Sequence[str], places: int) -> DataFrame:
-    return _on(df, cols, lambda c: numeric.round_places(c, places))
+    """Round to decimal places; whole numbers keep their type."""
+    whole = {f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)}
+    return _on(df, [c for c in cols if c not in whole], lambda c: numeric.round_places(c, places))
 
 
 def narrow_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
