@@ -25,9 +25,8 @@ def percentile_rank(df: DataFrame, col: str = SCORE, name: str = "score_percenti
     score table and splits the partition of a score that very many rows share.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_score")).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
     ranks = running_totals(counts, "_score", ["_n"], limit=limit).select(
-        "_score", ((F.col("cum__n") - (F.col("_n") - 1) / 2) / F.lit(total or 1) * 100).alias(name)
+        "_score", ((F.col("cum__n") - (F.col("_n") - 1) / 2) / F.col("total__n") * 100).alias(name)
     )
     return df.join(ranks, F.col(col) == F.col("_score"), "left").drop("_score")
 

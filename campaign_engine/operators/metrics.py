@@ -90,19 +90,16 @@ def _counts(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def _cumulative(df: DataFrame, label: str, score: str, limit: int) -> tuple[DataFrame, int, int]:
-    """Counts with running totals from the highest score down, and the class totals."""
-    counts = _counts(df, label, score)
-    n_pos, n_neg = counts.agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
-    return running_totals(counts, "score", ["pos", "neg"], True, limit), n_pos, n_neg
+def _cumulative(df: DataFrame, label: str, score: str, limit: int) -> DataFrame:
+    """Counts per score with running totals from the highest score down, and the class totals."""
+    return running_totals(_counts(df, label, score), "score", ["pos", "neg"], True, limit)
 
 
 def roc_curve(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
     """(fpr, tpr, threshold) per distinct score, with the starting point (0, 0) that no score reaches."""
-    cum, n_pos, n_neg = _cumulative(df, label, score, limit)
-    points = cum.select(
-        F.try_divide("cum_neg", F.lit(n_neg)).alias("fpr"),
-        F.try_divide("cum_pos", F.lit(n_pos)).alias("tpr"),
+    points = _cumulative(df, label, score, limit).select(
+        F.try_divide("cum_neg", "total_neg").alias("fpr"),
+        F.try_divide("cum_pos", "total_pos").alias("tpr"),
         F.col("score").alias("threshold"),
     )
     start = df.sparkSession.range(1).select(
@@ -111,21 +108,39 @@ def roc_curve(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) ->
     return start.unionByName(points)
 
 
+def _auc() -> Column:
+    """Positives of a score win against all negatives below it and half of those beside it."""
+    won = F.col("pos").cast("double") * (F.col("total_neg") - F.col("cum_neg") + F.col("neg") / 2)
+    pairs = F.first("total_pos").cast("double") * F.first("total_neg")
+    return F.try_divide(F.sum(won), pairs)
+
+
+def _ap() -> Column:
+    """Sum of (recall step x precision); the recall step of a score is its own positives."""
+    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    return F.sum(F.try_divide("pos", "total_pos") * precision)
+
+
 def roc_auc(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
     """Probability that a positive outscores a negative, ties counting half."""
-    cum, n_pos, n_neg = _cumulative(df, label, score, limit)
-    # Positives of a score win against all negatives below it and half of those beside it.
-    won = F.col("pos").cast("double") * (F.lit(n_neg) - F.col("cum_neg") + F.col("neg") / 2)
-    pairs = float(n_pos) * float(n_neg)
-    return cum.agg(F.try_divide(F.sum(won), F.lit(pairs)).alias("roc_auc"))
+    return _cumulative(df, label, score, limit).agg(_auc().alias("roc_auc"))
+
+
+def average_precision(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
+    """Average precision as a step sum, not as a trapezoid."""
+    return _cumulative(df, label, score, limit).agg(_ap().alias("avg_precision"))
+
+
+def ranking_metrics(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
+    """Both ranking metrics in one pass: (roc_auc, avg_precision)."""
+    return _cumulative(df, label, score, limit).agg(_auc().alias("roc_auc"), _ap().alias("avg_precision"))
 
 
 def pr_curve(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
     """(precision, recall, threshold) per distinct score, with the end point (1, 0)."""
-    cum, n_pos, _ = _cumulative(df, label, score, limit)
-    points = cum.select(
+    points = _cumulative(df, label, score, limit).select(
         F.try_divide("cum_pos", F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-        F.try_divide("cum_pos", F.lit(n_pos)).alias("recall"),
+        F.try_divide("cum_pos", "total_pos").alias("recall"),
         F.col("score").alias("threshold"),
     )
     end = df.sparkSession.range(1).select(
@@ -134,13 +149,6 @@ def pr_curve(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) ->
     return points.unionByName(end)
 
 
-def average_precision(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
-    """Sum of (recall step x precision); the recall step of a score is its own positives."""
-    cum, n_pos, _ = _cumulative(df, label, score, limit)
-    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return cum.agg(F.sum(F.try_divide("pos", F.lit(n_pos)) * precision).alias("avg_precision"))
-
-
 def best_f1(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
     """One row (threshold, precision, recall, f1): the highest F1, the lowest threshold on a tie."""
     curve = pr_curve(df, label, score, limit).filter(F.col("threshold").isNotNull())

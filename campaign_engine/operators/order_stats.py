@@ -220,13 +220,20 @@ def group_cuts(
 def running_totals(
     df: DataFrame, order: str, sums: Sequence[str], descending: bool = False, limit: int = EXACT_ROWS
 ) -> DataFrame:
-    """Running sums over rows sorted by a distinct number, as ``cum_<column>``.
+    """Running sums over rows sorted by a distinct number, as ``cum_<column>``, with the sum over all rows as
+    ``total_<column>``.
 
     Small inputs use one window. Larger ones are cut into value ranges of about equal size by a sketch; the
     window runs inside each range and the totals of the earlier ranges (at most 2,000) are added.
     """
     fractions = [i / 2000 for i in range(1, 2000)]
-    n, cuts = df.agg(F.count("*"), F.percentile_approx(F.col(order).cast("double"), fractions, SKETCH)).first()
+    row = df.agg(
+        F.count("*").alias("_rows"),
+        F.percentile_approx(F.col(order).cast("double"), fractions, SKETCH).alias("_cuts"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+    ).first()
+    n, cuts = row["_rows"], row["_cuts"]
+    wholes = {f"total_{c}": F.lit(row[c]) for c in sums}
 
     def by_order(*keys: str):
         last = F.desc(order) if descending else F.asc(order)
@@ -234,7 +241,7 @@ def running_totals(
 
     if n <= limit:
         w = by_order()
-        return df.withColumns({f"cum_{c}": F.sum(c).over(w) for c in sums})
+        return df.withColumns({f"cum_{c}": F.sum(c).over(w) for c in sums} | wholes)
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     ranged = Bucketizer(splits=splits, inputCol="_number", outputCol="_range").transform(
         df.withColumn("_number", F.col(order).cast("double"))
@@ -251,6 +258,7 @@ def running_totals(
         inner.join(F.broadcast(offsets), "_range")  # one row per range: at most 2,000
         .withColumns({f"cum_{c}": F.col(f"_off_{c}") + F.col(f"_in_{c}") for c in sums})
         .select(*df.columns, *[f"cum_{c}" for c in sums])
+        .withColumns(wholes)
     )
 
 
