@@ -35,19 +35,20 @@ def label_dictionary(df: DataFrame, cols: Sequence[str], limit: int = EXACT_ROWS
 
 
 def _attach(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], key: str, value: str) -> DataFrame:
-    """Replace each column by its partner in the dictionary."""
+    """Replace each column by its partner in the dictionary, which is broadcast only while it is small."""
     order = df.columns
+    dictionary = bounded_broadcast(dictionary)
     for c in cols:
         part = dictionary.filter(F.col("variable") == c).select(F.col(key).alias("_key"), F.col(value).alias("_value"))
         side = F.coalesce(c, F.lit(NULL_CLASS)) if key == "value" else F.col(c)
-        df = df.join(bounded_broadcast(part), side == F.col("_key"), "left").withColumn(c, F.col("_value"))
+        df = df.join(part, side == F.col("_key"), "left").withColumn(c, F.col("_value"))
         df = df.drop("_key", "_value")
     return df.select(*order)
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(encoded table, dictionary)."""
-    dictionary = label_dictionary(df, cols) if dictionary is None else dictionary
+    dictionary = bounded_broadcast(label_dictionary(df, cols)) if dictionary is None else dictionary
     return _attach(df, dictionary, cols, "value", "code"), dictionary
 
 

@@ -11,7 +11,8 @@ SMALL_ROWS = 10_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a lookup table if it has at most ``max_rows`` rows, else leave the join to the optimizer."""
+    """Broadcast a lookup table if it has at most ``max_rows`` rows, else leave the join to the optimizer,
+    which sorts and merges large sides and splits partitions that a frequent key makes too large."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df

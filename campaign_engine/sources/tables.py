@@ -14,7 +14,13 @@ from campaign_engine.plans import cleaning
 from campaign_engine.schemas import ENCODED_SCHEMA, ID_COL
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    options: Mapping | None = None,
+) -> DataFrame:
     """Table in a columnar or text format. Workbooks have to be exported to CSV or parquet first."""
     if fmt not in ("parquet", "orc", "csv", "json"):
         raise ValueError(f"unsupported format {fmt!r}")
@@ -23,7 +29,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", schema is None)
-    return reader.load(path)
+    return reader.options(**dict(options or {})).load(path)
 
 
 def read_clean(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
