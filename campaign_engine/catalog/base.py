@@ -12,6 +12,7 @@ from campaign_engine.sources.client_profile import client_profile
 Query = Callable[[SparkSession, str], DataFrame]
 queries: dict[str, Query] = {}
 oracles: dict[str, str] = {}
+_profiles: dict[tuple[str, str], DataFrame] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -28,7 +29,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """client_profile, kept for the operators that pass over it more than once."""
-    return client_profile(spark, sf_dir).persist()
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _profiles:
+        _profiles[key] = client_profile(spark, sf_dir)
+    return _profiles[key].persist()
 
 
 def with_tables(body: str, *extra: str, start: str = "profile") -> str:

@@ -233,7 +233,7 @@ def _silhouette_sql() -> str:
         "SELECT client_id, max(n) FILTER (WHERE mine) AS n_own, max(d * n / (n - 1)) FILTER (WHERE mine) AS a, "
         "min(d) FILTER (WHERE NOT mine) AS b FROM ("
         f"SELECT p.client_id, p.grp = g.grp AS mine, g.n AS n, p.sq - 2 * ({dot}) / g.n + g.ssq / g.n AS d FROM p, g) GROUP BY client_id)",
-        "p AS (SELECT client_id, payment_method AS grp, " + ", ".join(_SIL) + f", {own} AS sq FROM client_profile)",
+        "p AS (SELECT client_id, payment_method AS grp, " + ", ".join(_SIL) + f", {own} AS sq FROM client_profile WHERE payment_method IS NOT NULL)",
         "g AS (SELECT grp, count(*) AS n, sum(sq) AS ssq, " + ", ".join(f"sum({c}) AS s_{c}" for c in _SIL) + " FROM p GROUP BY grp)",
     )
 

@@ -55,7 +55,8 @@ def fit_kmeans(
 
 def silhouette(vectors: DataFrame, label: str = "cluster") -> float:
     """Mean silhouette with squared Euclidean distances: linear in the rows, no pairs of rows."""
-    return ClusteringEvaluator(predictionCol=label, featuresCol="features").evaluate(vectors)
+    known = vectors.filter(F.col(label).isNotNull())
+    return ClusteringEvaluator(predictionCol=label, featuresCol="features").evaluate(known)
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED,

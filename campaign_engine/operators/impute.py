@@ -12,9 +12,11 @@ from campaign_engine.operators.shape import bounded_broadcast, long_values
 from campaign_engine.schemas import UNKNOWN
 
 
-def medians(df: DataFrame, cols: Sequence[str], exact: bool = True, limit: int = EXACT_ROWS) -> dict[str, float | None]:
+def medians(
+    df: DataFrame, cols: Sequence[str], exact: bool = True, limit: int = EXACT_ROWS, rows: int | None = None
+) -> dict[str, float | None]:
     """Median of each column, all in one pass over the data while it is small."""
-    found = column_quantiles(df, cols, [0.5], limit) if exact else approximate_quantiles(df, cols, [0.5])
+    found = column_quantiles(df, cols, [0.5], limit, rows) if exact else approximate_quantiles(df, cols, [0.5])
     return {c: None if q is None else q[0] for c, q in found.items()}
 
 
@@ -28,18 +30,18 @@ def impute_median(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Dat
     return fill_numbers(df, medians(df, present, exact)) if present else df
 
 
-def fill_group_median(df: DataFrame, col: str, by: str, limit: int = EXACT_ROWS) -> DataFrame:
+def fill_group_median(df: DataFrame, col: str, by: str, limit: int = EXACT_ROWS, rows: int | None = None) -> DataFrame:
     """Fill nulls with the median of the row's group; known values and null groups stay."""
-    stats = group_quantiles(df.filter(F.col(by).isNotNull()), col, [by], [0.5], limit)
+    stats = group_quantiles(df.filter(F.col(by).isNotNull()), col, [by], [0.5], limit, rows)
     small = bounded_broadcast(stats.select(F.col(by).alias("_group"), F.col("q")[0].alias("_median")))
     joined = df.join(small, F.col(by) == F.col("_group"), "left")
     return joined.withColumn(col, F.coalesce(F.col(col).cast("double"), "_median")).drop("_group", "_median")
 
 
-def impute_group_median(df: DataFrame, col: str, by: str, limit: int = EXACT_ROWS) -> DataFrame:
+def impute_group_median(df: DataFrame, col: str, by: str, limit: int = EXACT_ROWS, rows: int | None = None) -> DataFrame:
     """Group median first, then the median of the column as filled so far."""
-    filled = fill_group_median(df, col, by, limit) if by in df.columns else df
-    return fill_numbers(filled, medians(filled, [col], limit=limit))
+    filled = fill_group_median(df, col, by, limit, rows) if by in df.columns else df
+    return fill_numbers(filled, medians(filled, [col], limit=limit, rows=rows))
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:

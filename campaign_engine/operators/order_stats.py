@@ -25,6 +25,8 @@ EXACT_ROWS = 1_000_000
 SKETCH = 10_000
 MAX_GROUPS = 10_000
 ASKS_PER_JOB = 40
+# One SQL text instead of two thousand literal columns keeps the plan quick to build.
+_RANGE_ENDS = ", ".join(f"{i / 2000!r}D" for i in range(1, 2000))
 
 
 @dataclass
@@ -125,10 +127,16 @@ def _interpolated(asks: dict[int, _Ask], position: float) -> float:
 
 
 def column_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = EXACT_ROWS
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = EXACT_ROWS, rows: int | None = None
 ) -> dict[str, list[float] | None]:
-    """Exact linear-interpolated quantiles of each column; None for a column without values."""
+    """Exact linear-interpolated quantiles of each column; None for a column without values.
+
+    ``rows``, if the caller knows it, is an upper bound of the number of rows and may save the counting job.
+    """
     values = {c: known(F.col(c).cast("double")) for c in cols}
+    if rows is not None and rows <= limit:
+        row = df.agg(*[F.percentile(v, list(probs)).alias(c) for c, v in values.items()]).first()
+        return {c: None if row[c] is None else list(row[c]) for c in cols}
     counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
     out: dict[str, list[float] | None] = {c: None for c in cols}
     small = [c for c in cols if 0 < counts[c] <= limit]
@@ -161,18 +169,25 @@ def _same_group(row: Row, by: Sequence[str]) -> Column:
 
 
 def group_quantiles(
-    df: DataFrame, col: str, by: Sequence[str], probs: Sequence[float], limit: int = EXACT_ROWS
+    df: DataFrame,
+    col: str,
+    by: Sequence[str],
+    probs: Sequence[float],
+    limit: int = EXACT_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group as ``q`` (array). Groups above ``limit`` rows are narrowed, one by one;
     there can be at most rows/limit of them, all others fit an aggregation buffer."""
     v = known(F.col(col).cast("double"))
+    if rows is not None and rows <= limit:
+        return df.groupBy(*by).agg(F.percentile(v, list(probs)).alias("q"))
     sizes = df.groupBy(*by).agg(F.count(v).alias("n"))
     total, biggest = sizes.agg(F.sum("n"), F.max("n")).first()
     if (biggest or 0) <= limit:
         return df.groupBy(*by).agg(F.percentile(v, list(probs)).alias("q"))
     limit = max(limit, (total or 0) // MAX_GROUPS)
     hot = sizes.filter(F.col("n") > limit).collect()
-    rows, is_hot, asks = [], F.lit(False), []
+    found, is_hot, asks = [], F.lit(False), []
     for g in hot:
         member = _same_group(g, by) & v.isNotNull()
         ranks = {r for p in probs for r in (math.floor(p * (g["n"] - 1)), math.ceil(p * (g["n"] - 1)))}
@@ -180,9 +195,9 @@ def group_quantiles(
         is_hot = is_hot | _same_group(g, by)
     _resolve(df, [a for group in asks for a in group.values()], limit)
     for g, group in zip(hot, asks):
-        rows.append((*[g[c] for c in by], [_interpolated(group, p * (g["n"] - 1)) for p in probs]))
+        found.append((*[g[c] for c in by], [_interpolated(group, p * (g["n"] - 1)) for p in probs]))
     cold = df.filter(~is_hot).groupBy(*by).agg(F.percentile(v, list(probs)).alias("q"))
-    return cold.unionByName(df.sparkSession.createDataFrame(rows, cold.schema)) if rows else cold
+    return cold.unionByName(df.sparkSession.createDataFrame(found, cold.schema)) if found else cold
 
 
 def group_cuts(
@@ -226,10 +241,9 @@ def running_totals(
     Small inputs use one window. Larger ones are cut into value ranges of about equal size by a sketch; the
     window runs inside each range and the totals of the earlier ranges (at most 2,000) are added.
     """
-    fractions = [i / 2000 for i in range(1, 2000)]
     row = df.agg(
         F.count("*").alias("_rows"),
-        F.percentile_approx(F.col(order).cast("double"), fractions, SKETCH).alias("_cuts"),
+        F.expr(f"percentile_approx(CAST(`{order}` AS DOUBLE), array({_RANGE_ENDS}), {SKETCH})").alias("_cuts"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
     ).first()
     n, cuts = row["_rows"], row["_cuts"]

@@ -33,11 +33,13 @@ class Fence:
         return self.q3 + 1.5 * self.iqr
 
 
-def fences(df: DataFrame, cols: Sequence[str], exact: bool = True, limit: int = EXACT_ROWS) -> dict[str, Fence]:
+def fences(
+    df: DataFrame, cols: Sequence[str], exact: bool = True, limit: int = EXACT_ROWS, rows: int | None = None
+) -> dict[str, Fence]:
     """Quartiles of all columns; columns without values are left out."""
     present = [c for c in cols if c in df.columns]
     probs = [0.25, 0.5, 0.75]
-    found = column_quantiles(df, present, probs, limit) if exact else approximate_quantiles(df, present, probs)
+    found = column_quantiles(df, present, probs, limit, rows) if exact else approximate_quantiles(df, present, probs)
     return {c: Fence(*q) for c, q in found.items() if q is not None}
 
 

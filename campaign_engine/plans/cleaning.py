@@ -40,11 +40,11 @@ def normalized(df: DataFrame) -> DataFrame:
     return columns.to_numeric(out, NUMERIC_COLS)
 
 
-def imputed(df: DataFrame) -> DataFrame:
+def imputed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Medians, group median of the spend (by the category before its own nulls are filled) and modes."""
     plain = [c for c in NUMERIC_COLS if c in df.columns and c != "total_spent"]
-    found = impute.medians(df, plain)
-    out = impute.impute_group_median(df, "total_spent", TARGET_COL) if "total_spent" in df.columns else df
+    found = impute.medians(df, plain, rows=rows)
+    out = impute.impute_group_median(df, "total_spent", TARGET_COL, rows=rows) if "total_spent" in df.columns else df
     present = [c for c in CAT_COLS if c in df.columns]
     common = impute.modes(df, present)
     out = out.withColumns({c: F.coalesce(c, F.lit(common.get(c, UNKNOWN))) for c in present})
@@ -52,8 +52,9 @@ def imputed(df: DataFrame) -> DataFrame:
 
 
 def _bootstrap(df: DataFrame, rates: DataFrame | None, as_of: datetime | None) -> DataFrame:
-    filled = imputed(normalized(df))
-    clipped = outliers.winsorize_iqr(filled, WINSOR_COLS)
+    rows = df.count()
+    filled = imputed(normalized(df), rows)
+    clipped = outliers.winsorize_iqr(filled, WINSOR_COLS, found=outliers.fences(filled, WINSOR_COLS, rows=rows))
     return fx_enrich(columns.round_int(clipped, INT_COLS), rate_column(rates, as_of), MONEY_COLS)
 
 
