@@ -99,7 +99,7 @@ def _target_table(spark, sf_dir):
 
 def _impact_sql(dim: str, limit: str) -> str:
     return with_tables(
-        f"SELECT {dim}, {rnd('m', 6)} AS mean_score, targets FROM (SELECT {dim}, avg(conversion_score) AS m, "
+        f"SELECT {dim}, {rnd('m', 9)} AS mean_score, targets FROM (SELECT {dim}, avg(conversion_score) AS m, "
         f"count(*) FILTER (WHERE conversion_score >= 0.34) AS targets FROM scored_profile GROUP BY {dim}) "
         f"ORDER BY m DESC, {dim} {limit}",
         start="scored_profile",
@@ -108,12 +108,12 @@ def _impact_sql(dim: str, limit: str) -> str:
 
 @query("impact_by_dim", _impact_sql("acquisition_channel", ""))
 def _impact_channel(spark, sf_dir):
-    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "acquisition_channel"), ["mean_score"], 6)
+    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "acquisition_channel"), ["mean_score"], 9)
 
 
 @query("impact_by_country", _impact_sql("country", "LIMIT 15"))
 def _impact_country(spark, sf_dir):
-    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "country", top=15), ["mean_score"], 6)
+    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "country", top=15), ["mean_score"], 9)
 
 
 @query(

@@ -239,7 +239,7 @@ _NOTEBOOK = [
 
 
 def _notebook_sql() -> str:
-    clipped = {c: f"least(greatest(CAST({c} AS DOUBLE), {c}_lo), {c}_hi)" for c in WINSOR_COLS}
+    clipped = {c: f"CASE WHEN {c} IS NOT NULL THEN least(greatest(CAST({c} AS DOUBLE), {c}_lo), {c}_hi) END" for c in WINSOR_COLS}
     numbers = []
     for c in NUMERIC_COLS:
         value = clipped.get(c, c)

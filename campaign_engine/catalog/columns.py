@@ -202,10 +202,13 @@ def _fx_enrich(spark, sf_dir):
     return fx.fx_enrich(df, rate, ["total_spent", "avg_order_value"])
 
 
-_DAYS = "least(greatest(lifetime_value / (avg_order_value + 1e-6) * 30, 1.0::DOUBLE), 3650.0::DOUBLE)"
+_DAYS = (
+    "CASE WHEN lifetime_value IS NOT NULL THEN "
+    "least(greatest(lifetime_value / (avg_order_value + 1e-6) * 30, 1.0::DOUBLE), 3650.0::DOUBLE) END"
+)
 ENGINEERED_SQL = {
     "estimated_days_since_signup": _DAYS,
-    "purchase_frequency_intensity": f"last_3_month_purchase_freq / ({_DAYS} + 1e-6) * 30",
+    "purchase_frequency_intensity": f"last_3_month_purchase_freq / (({_DAYS}) + 1e-6) * 30",
     "ticket_promedio_estimado": "lifetime_value / (last_3_month_purchase_freq + 1)",
     "marketing_efficiency": "lifetime_value / (marketing_spend_per_user + 1)",
     "friction_free_customer": "CAST(support_tickets = 0 AND delivery_delay_days = 0 AS INTEGER)",

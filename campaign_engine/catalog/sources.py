@@ -90,10 +90,12 @@ def _materialize(spark, sf_dir):
 
 
 def _dictionary(spark, sf_dir):
-    """One JSON object per document, as dictionary files hold them; every third has a value that is no text."""
-    entry = F.create_map(F.concat_ws("|", "lang", F.lit("en"), "text"), F.md5("text"))
-    bad = F.create_map(F.concat_ws("|", "lang", F.lit("en"), "text"), F.col("n_chars"))
-    short = F.create_map(F.concat_ws("|", "lang", "source"), F.md5("text"))
+    """One JSON object per document, as dictionary files hold them; some have a value that is no text or a
+    key with two parts only."""
+    key = F.concat_ws("|", F.lit("es"), F.lit("en"), F.concat("source", F.lit("|"), "doc_id"))
+    entry = F.create_map(key, "text")
+    bad = F.create_map(key, "n_chars")
+    short = F.create_map(F.concat_ws("|", "lang", "source"), F.col("text"))
     kind = F.col("doc_id") % 3
     return table(spark, sf_dir, "documents").select(
         F.when(kind == 0, F.to_json(entry)).when(kind == 1, F.to_json(bad)).otherwise(F.to_json(short)).alias("value")
@@ -102,7 +104,8 @@ def _dictionary(spark, sf_dir):
 
 @query(
     "src_dictionary",
-    "SELECT lang AS src, 'en' AS tgt, text, md5(text) AS translated FROM documents WHERE doc_id % 3 = 0",
+    "SELECT src, tgt, text, translated FROM (SELECT 'es' AS src, 'en' AS tgt, source || '|' || doc_id AS text, "
+    "text AS translated, doc_id % 3 AS kind FROM documents) WHERE kind = 0",
 )
 def _src_dictionary(spark, sf_dir):
     path = scratch(spark, "dictionary")

@@ -11,7 +11,8 @@ from campaign_engine.schemas import FX_BASE, FX_QUOTE
 def dictionary_rows(objects: DataFrame, col: str = "value") -> DataFrame:
     """(src, tgt, text, translated) from JSON objects with keys ``src|tgt|text``.
 
-    Keys with fewer than three parts, values that are not strings and broken objects are dropped.
+    Keys with fewer than three parts, values that are not strings and broken objects are dropped. The JSON
+    parser takes keys of up to 50,000 characters.
     """
     parsed = objects.select(F.try_parse_json(col).alias("v"))
     pairs = parsed.lateralJoin(objects.sparkSession.tvf.variant_explode(F.col("v").outer()))
