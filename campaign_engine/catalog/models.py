@@ -11,7 +11,7 @@ from campaign_engine.catalog.cleaning import cleaned, normalized
 from campaign_engine.catalog.sources import scratch
 from campaign_engine.functions.numeric import round_places
 from campaign_engine.operators import cluster, metrics, prep, supervised, tune
-from campaign_engine.operators.columns import round_cols
+from campaign_engine.operators.columns import drop_nulls, round_cols
 from campaign_engine.operators.features import add_engineered_features, screening_sets
 from campaign_engine.plans import cleaning, training
 from campaign_engine.plans.feature_search import search_features
@@ -285,13 +285,13 @@ query("lr_classifier")(_scored_by("lr", {"max_iter": 50}))
         + rnd("regr_intercept(lifetime_value, avg_order_value)", 2) + " AS intercept, "
         + rnd("sqrt((regr_syy(lifetime_value, avg_order_value) - "
               "regr_sxy(lifetime_value, avg_order_value) * regr_sxy(lifetime_value, avg_order_value) / "
-              "regr_sxx(lifetime_value, avg_order_value)) / count(*))", 2)
+              "regr_sxx(lifetime_value, avg_order_value)) / regr_count(lifetime_value, avg_order_value))", 2)
         + " AS rmse FROM client_profile"
     ),
 )
 def _linear(spark, sf_dir):
     """One feature, so that the closed form can be compared."""
-    df = profile(spark, sf_dir).select("lifetime_value", "avg_order_value")
+    df = drop_nulls(profile(spark, sf_dir).select("lifetime_value", "avg_order_value"), ["lifetime_value", "avg_order_value"])
     model = supervised.fit_regressor(df, "linear", ["avg_order_value"], "lifetime_value")
     fit = metrics.regression_metrics(supervised.predict(model, df), "lifetime_value", "prediction")
     line = model.stages[-1]
