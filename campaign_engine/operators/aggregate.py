@@ -142,7 +142,8 @@ def average_ranks(df: DataFrame, rankings: Mapping[str, Column], limit: int = EX
     totals = counts.filter(~F.col("variable").isin(big)) if big else counts
     totals = totals.withColumn("cum_n", F.sum("n").over(w))
     for name in big:
-        totals = totals.unionByName(running_totals(counts.filter(F.col("variable") == name), "value", ["n"], limit=limit))
+        one = running_totals(counts.filter(F.col("variable") == name), "value", ["n"], limit=limit)
+        totals = totals.unionByName(one.select(*totals.columns))
     return totals.select("variable", "value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("rank")), sizes
 
 
