@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from campaign_engine.functions import numeric, text
 from campaign_engine.schemas import DEFAULT_THRESHOLD, GENDER_MAP, NULL_TOKENS
@@ -151,8 +150,8 @@ def minmax_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def with_share(counts: DataFrame, col: str, name: str = "share") -> DataFrame:
-    """Share of each group in an aggregated (small) table."""
-    return counts.withColumn(name, F.col(col) / F.sum(col).over(Window.partitionBy()))
+    """Share of each group in an aggregated table; the total is a scalar subquery, so any number of groups will do."""
+    return counts.withColumn(name, F.col(col) / counts.agg(F.sum(col)).scalar())
 
 
 def null_mask(df: DataFrame, key: str) -> DataFrame:

@@ -6,14 +6,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 10_000
+SMALL_BYTES = 16 << 20
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a lookup table if it has at most ``max_rows`` rows, else leave the join to the optimizer,
-    which sorts and merges large sides and splits partitions that a frequent key makes too large."""
-    rows = df.limit(max_rows + 1).collect()
+    """Broadcast a lookup table if it has at most ``max_rows`` rows and ``SMALL_BYTES`` of text, else leave the
+    join to the optimizer, which sorts and merges large sides and splits partitions that a frequent key makes
+    too large."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    first = df.limit(max_rows + 1)
+    if texts:
+        length = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in texts), F.lit(0))
+        if (first.agg(F.sum(length)).first()[0] or 0) > SMALL_BYTES:
+            return df
+    rows = first.collect()
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

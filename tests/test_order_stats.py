@@ -35,6 +35,7 @@ def test_narrowed_quantiles_are_exact(numbers):
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     exact = column_quantiles(numbers, ["x", "y"], probs)
     assert column_quantiles(numbers, ["x", "y"], probs, limit=20) == exact
+    assert column_quantiles(numbers, ["x", "y"], probs, limit=1) == exact
     pdf = numbers.select("x", "y").toPandas()
     for c in ("x", "y"):
         assert exact[c] == pytest.approx(pdf[c].quantile(probs).tolist())
