@@ -189,6 +189,21 @@ def _cluster_profile(spark, sf_dir):
     return cluster.cluster_profile(profile(spark, sf_dir), "payment_method", _LABELS)
 
 
+@query(
+    "join_index_left",
+    with_tables(
+        "SELECT m.country, m.total_visits, m.nps_score, c.n_clientes FROM (SELECT country, "
+        + rnd("avg(total_visits)", 2) + " AS total_visits, " + rnd("avg(nps_score)", 2)
+        + " AS nps_score FROM normalized GROUP BY country) m LEFT JOIN (SELECT country, count(*) AS n_clientes FROM normalized "
+        "GROUP BY country) c ON m.country IS NOT DISTINCT FROM c.country",
+        start="normalized",
+    ),
+)
+def _join_index(spark, sf_dir):
+    """Means and counts of each group, which a single aggregation gives without the join."""
+    return cluster.cluster_profile(normalized(spark, sf_dir), "country", ["total_visits", "nps_score"])
+
+
 _RADAR = ["avg_order_value", "total_visits", "pages_per_session"]
 
 

@@ -6,12 +6,12 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from campaign_engine.catalog.base import fence_sql, profile, query, rnd, with_tables
+from campaign_engine.catalog.base import fence_sql, number_sql, profile, query, rnd, with_tables
 from campaign_engine.catalog.cleaning import cleaned, normalized
 from campaign_engine.operators import quality as ops
 from campaign_engine.operators.columns import round_cols
-from campaign_engine.schemas import CAT_COLS, NUMERIC_COLS, rules_for
-from campaign_engine.sources.client_profile import client_profile, client_raw
+from campaign_engine.schemas import CAT_COLS, NUMERIC_COLS, Rule, rules_for
+from campaign_engine.sources.client_profile import client_profile, client_raw, table
 
 _RAW_COLS = ["client_id", *NUMERIC_COLS, *CAT_COLS]
 _RULES_RAW = rules_for("raw")
@@ -19,8 +19,6 @@ _RULES_RAW["gender"] = replace(_RULES_RAW["gender"], values=("male", "female", "
 
 
 def _number(c: str) -> str:
-    from campaign_engine.catalog.base import number_sql
-
     return number_sql(c) if c == "age" else c
 
 
@@ -75,17 +73,23 @@ def _validate_clean(spark, sf_dir):
     return ops.validate_schema(cleaned(spark, sf_dir), _RULES_CLEAN, "CLEAN")
 
 
+_ORDER_RULES = {
+    "o_totalprice": Rule("numeric", False, 0.0, 300_000.0),
+    "o_orderpriority": Rule("category", False, values=("1-URGENT", "2-HIGH", "3-MEDIUM")),
+    "o_region": Rule("category"),
+}
+
+
 @query(
     "set_difference_cols",
-    "SELECT 'RAW' AS stage, 'region' AS \"column\", 'missing' AS rule, 'ERROR' AS severity, CAST(1 AS BIGINT) AS n UNION ALL "
-    + " UNION ALL ".join(
-        f"SELECT 'RAW', '{c}', 'extra', 'WARNING', 1" for c in ["client_id", *NUMERIC_COLS, *CAT_COLS] if c not in _RULES_RAW
-    ),
+    "SELECT 'ORDERS' AS stage, 'o_region' AS \"column\", 'missing' AS rule, 'ERROR' AS severity, CAST(1 AS BIGINT) AS n "
+    "UNION ALL SELECT 'ORDERS', column_name, 'extra', 'WARNING', 1 FROM (DESCRIBE orders) "
+    "WHERE column_name NOT IN ('o_totalprice', 'o_orderpriority') UNION ALL "
+    + _checks_sql({c: r for c, r in _ORDER_RULES.items() if c != "o_region"}, "orders", "ORDERS", False),
 )
 def _set_difference(spark, sf_dir):
-    rules = {**_RULES_RAW, "region": _RULES_RAW["country"]}
-    report = ops.validate_schema(client_profile(spark, sf_dir), rules, "RAW")
-    return report.filter(F.col("rule").isin("missing", "extra"))
+    """Missing and extra columns of the order table, with its broken rules."""
+    return ops.validate_schema(table(spark, sf_dir, "orders"), _ORDER_RULES, "ORDERS")
 
 
 _NULL_SUM = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in _RAW_COLS)

@@ -15,6 +15,7 @@ from campaign_engine.functions.numeric import round_places
 from campaign_engine.operators.columns import minmax_scale, with_share
 from campaign_engine.operators.prep import assemble, standardize
 from campaign_engine.schemas import ID_COL, SEED
+from campaign_engine.session import in_parallel
 
 ORDER_BY = "last_3_month_purchase_freq"
 
@@ -28,7 +29,11 @@ def scaled_vectors(df: DataFrame, cols: Sequence[str], key: str = ID_COL) -> Dat
 
 def best_kmeans(vectors: DataFrame, k: int, seed: int = SEED, n_init: int = 10) -> KMeansModel:
     """The start with the lowest cost out of ``n_init`` seeds; keep ``vectors`` persisted."""
-    models = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="_cluster").fit(vectors) for i in range(n_init)]
+
+    def start(i: int):
+        return lambda: KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="_cluster").fit(vectors)
+
+    models = in_parallel([start(i) for i in range(n_init)])
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -64,10 +69,15 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = (2, 3, 4, 5, 6
     """(k, inertia, silhouette) for each k; the vectors are scaled and kept once."""
     vectors = scaled_vectors(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = []
-        for k in ks:
-            model = best_kmeans(vectors, k, seed, n_init)
-            rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors), "_cluster"))))
+
+        def one(k: int):
+            def run() -> tuple[int, float, float]:
+                model = best_kmeans(vectors, k, seed, n_init)
+                return k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors), "_cluster"))
+
+            return run
+
+        rows = in_parallel([one(k) for k in ks])
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")

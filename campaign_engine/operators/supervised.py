@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from campaign_engine.operators import metrics
 from campaign_engine.operators.prep import class_weights, moments, prepare_features, with_fold, with_weight
 from campaign_engine.schemas import DEFAULT_THRESHOLD, ID_COL, SEED
+from campaign_engine.session import in_parallel
 
 MAX_DEPTH = 30
 IGNORED = ("min_samples_split", "ccp_alpha")
@@ -148,12 +148,6 @@ def predict_conversion(
     return scored.withColumn("is_target", F.col("conversion_score") >= threshold)
 
 
-def in_parallel(tasks: Sequence[Callable[[], object]], width: int = 4) -> list:
-    """Run independent Spark actions side by side, so that small stages share the executors."""
-    with ThreadPoolExecutor(max_workers=max(1, min(width, len(tasks) or 1))) as pool:
-        return [f.result() for f in [pool.submit(t) for t in tasks]]
-
-
 def cross_val(
     df: DataFrame,
     fit: Callable[[DataFrame], Transformer],

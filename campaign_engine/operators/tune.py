@@ -16,8 +16,9 @@ from pyspark.storagelevel import StorageLevel
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import rank_results
 from campaign_engine.operators.prep import assemble, class_weights, with_fold, with_weight
-from campaign_engine.operators.supervised import Forest, fit_classifier, forest, in_parallel, score
+from campaign_engine.operators.supervised import Forest, fit_classifier, forest, score
 from campaign_engine.schemas import ID_COL, SEED
+from campaign_engine.session import in_parallel
 
 # The named search spaces.
 _WIDE = {
@@ -217,6 +218,13 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> dic
     return {"roc_auc": row["roc_auc"], "avg_precision": row["avg_precision"], **cells.asDict(), "report": report}
 
 
+def _tuned(train: DataFrame, test: DataFrame, cols: Sequence[str], combos: Sequence[Mapping], k: int, key: str,
+           label: str, seed: int) -> tuple[dict, dict]:
+    """(best parameters, their evaluation on the test table); a single candidate needs no search."""
+    best = dict(combos[0]) if len(combos) == 1 else tune(train, cols, combos, k, key=key, label=label, seed=seed)[0]
+    return best, evaluate(fit_classifier(train, "rf", cols, best, label, seed), test, label)
+
+
 def compare_versions(
     train: DataFrame,
     test: DataFrame,
@@ -230,10 +238,12 @@ def compare_versions(
 
     Returns (version, roc_auc, avg_precision, best_params, tn, fp, fn, tp) and the reports of all versions.
     """
+
+    def one(cols: Sequence[str], label: str):
+        return lambda: _tuned(train, test, cols, combos, k, key, label, seed)
+
     rows, reports = [], []
-    for name, (cols, label) in versions.items():
-        best, _ = tune(train, cols, combos, k, key=key, label=label, seed=seed)
-        found = evaluate(fit_classifier(train, "rf", cols, best, label, seed), test, label)
+    for name, (best, found) in zip(versions, in_parallel([one(*v) for v in versions.values()])):
         text = ", ".join(f"{n}={v}" for n, v in best.items())
         rows.append((name, found["roc_auc"], found["avg_precision"], text, *[found[c] for c in metrics.CELLS]))
         reports += [(name, *r) for r in found["report"]]
@@ -291,11 +301,14 @@ def deep_tune_top(
 ) -> DataFrame:
     """Screen all sets, tune the best ones, test them: (feature_set, roc_auc, avg_precision, best_params as map)."""
     best = [r["feature_set"] for r in screen(train, test, sets, screen_params, label, seed).limit(top).collect()]
-    rows = []
-    for name in best:
-        params, _ = tune(train, sets[name], combos, k, key=key, label=label, seed=seed)
-        found = evaluate(fit_classifier(train, "rf", sets[name], params, label, seed), test, label)
-        rows.append((name, found["roc_auc"], found["avg_precision"], {n: str(v) for n, v in params.items()}))
+
+    def one(name: str):
+        return lambda: _tuned(train, test, sets[name], combos, k, key, label, seed)
+
+    rows = [
+        (name, found["roc_auc"], found["avg_precision"], {n: str(v) for n, v in params.items()})
+        for name, (params, found) in zip(best, in_parallel([one(n) for n in best]))
+    ]
     frame = train.sparkSession.createDataFrame(
         rows, "feature_set string, roc_auc double, avg_precision double, best_params map<string,string>"
     )

@@ -27,6 +27,7 @@ from campaign_engine.schemas import (
     UNROUNDED_COLS,
     WINSOR_COLS,
 )
+from campaign_engine.session import in_parallel
 
 MONEY_COLS = ["total_spent", "avg_order_value"]
 
@@ -43,10 +44,14 @@ def normalized(df: DataFrame) -> DataFrame:
 def imputed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Medians, group median of the spend (by the category before its own nulls are filled) and modes."""
     plain = [c for c in NUMERIC_COLS if c in df.columns and c != "total_spent"]
-    found = impute.medians(df, plain, rows=rows)
-    out = impute.impute_group_median(df, "total_spent", TARGET_COL, rows=rows) if "total_spent" in df.columns else df
     present = [c for c in CAT_COLS if c in df.columns]
-    common = impute.modes(df, present)
+
+    def spent() -> DataFrame:
+        return impute.impute_group_median(df, "total_spent", TARGET_COL, rows=rows) if "total_spent" in df.columns else df
+
+    found, common, out = in_parallel(
+        [lambda: impute.medians(df, plain, rows=rows), lambda: impute.modes(df, present), spent]
+    )
     out = out.withColumns({c: F.coalesce(c, F.lit(common.get(c, UNKNOWN))) for c in present})
     return impute.fill_numbers(out, found)
 

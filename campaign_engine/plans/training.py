@@ -22,6 +22,7 @@ from campaign_engine.operators.supervised import (
     score,
 )
 from campaign_engine.schemas import CAMPAIGN_COLS, CAT_COLS, ID_COL, POSITIVE_CLASS, SEED, TARGET_COL
+from campaign_engine.session import in_parallel
 
 # The two classifiers and regressors with their settings.
 CLASSIFIERS = {"Random Forest": ("rf", {"n_estimators": 120}), "Regresión Logística": ("lr", {"max_iter": 600})}
@@ -56,8 +57,11 @@ def train_classifiers(
     cols = feature_names(data, TARGET_COL)
     train, test = split(data, ID_COL, 0.2, seed, "label")
     parts, forest_model = {}, None
-    for name, (kind, params) in settings.items():
-        fitted = fit_classifier(train, kind, cols, params, seed=seed)
+
+    def fit(kind: str, params: dict):
+        return lambda: fit_classifier(train, kind, cols, params, seed=seed)
+
+    for (name, (kind, _)), fitted in zip(settings.items(), in_parallel([fit(*s) for s in settings.values()])):
         parts[name] = score(fitted, test).select(ID_COL, "label", "conversion_score", "prediction")
         if kind == "rf":
             forest_model = ConversionModel(fitted, feature_defaults(data, cols))
