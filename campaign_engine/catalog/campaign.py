@@ -99,7 +99,7 @@ def _target_table(spark, sf_dir):
 
 def _impact_sql(dim: str, limit: str) -> str:
     return with_tables(
-        f"SELECT {dim}, {rnd('m', 9)} AS mean_score, targets FROM (SELECT {dim}, avg(conversion_score) AS m, "
+        f"SELECT {dim}, {rnd('m', 12)} AS mean_score, targets FROM (SELECT {dim}, avg(conversion_score) AS m, "
         f"count(*) FILTER (WHERE conversion_score >= 0.34) AS targets FROM scored_profile GROUP BY {dim}) "
         f"ORDER BY m DESC, {dim} {limit}",
         start="scored_profile",
@@ -108,36 +108,37 @@ def _impact_sql(dim: str, limit: str) -> str:
 
 @query("impact_by_dim", _impact_sql("acquisition_channel", ""))
 def _impact_channel(spark, sf_dir):
-    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "acquisition_channel"), ["mean_score"], 9)
+    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "acquisition_channel"), ["mean_score"], 12)
 
 
 @query("impact_by_country", _impact_sql("country", "LIMIT 15"))
 def _impact_country(spark, sf_dir):
-    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "country", top=15), ["mean_score"], 9)
+    return round_cols(ops.impact_by(scored_profile(spark, sf_dir), "country", top=15), ["mean_score"], 12)
 
 
 @query(
     "campaign_kpis",
     with_tables(
-        "SELECT n_total, n_target, " + rnd("n_target * 100 / n_total", 6) + " AS coverage, mean_target_score, target_spend, mean_score FROM "
+        "SELECT n_total, n_target, " + rnd("n_target * 100 / n_total", 10) + " AS coverage, mean_target_score, target_spend, mean_score FROM "
         "(SELECT count(*) AS n_total, count(*) FILTER (WHERE conversion_score >= 0.34) AS n_target, "
-        + rnd("avg(conversion_score) FILTER (WHERE conversion_score >= 0.34)", 6) + " AS mean_target_score, "
+        + rnd("avg(conversion_score) FILTER (WHERE conversion_score >= 0.34)", 12) + " AS mean_target_score, "
         + rnd("sum(total_spent) FILTER (WHERE conversion_score >= 0.34)", 2) + " AS target_spend, "
-        + rnd("avg(conversion_score)", 6) + " AS mean_score FROM scored_profile)",
+        + rnd("avg(conversion_score)", 12) + " AS mean_score FROM scored_profile)",
         start="scored_profile",
     ),
 )
 def _kpis(spark, sf_dir):
     out = ops.campaign_kpis(scored_profile(spark, sf_dir))
-    return round_cols(round_cols(out, ["coverage", "mean_target_score", "mean_score"], 6), ["target_spend"], 2)
+    exact = round_cols(round_cols(out, ["mean_target_score", "mean_score"], 12), ["target_spend"], 2)
+    return round_cols(exact, ["coverage"], 10)
 
 
 @query(
     "threshold_sweep",
     with_tables(
         "SELECT t AS threshold, (SELECT count(*) FROM scored_profile) AS n_total, count(client_id) AS n_target, "
-        + rnd("count(client_id) * 100 / (SELECT count(*) FROM scored_profile)", 6) + " AS coverage, "
-        + rnd("coalesce(avg(conversion_score), 0)", 6) + " AS mean_target_score, "
+        + rnd("count(client_id) * 100 / (SELECT count(*) FROM scored_profile)", 10) + " AS coverage, "
+        + rnd("coalesce(avg(conversion_score), 0)", 12) + " AS mean_target_score, "
         + rnd("coalesce(sum(total_spent), 0)", 2) + " AS target_spend "
         "FROM (SELECT i / 100 AS t FROM range(10, 96) AS r(i)) LEFT JOIN scored_profile ON conversion_score >= t GROUP BY t",
         start="scored_profile",
@@ -145,7 +146,8 @@ def _kpis(spark, sf_dir):
 )
 def _sweep(spark, sf_dir):
     out = ops.threshold_sweep(scored_profile(spark, sf_dir), ops.threshold_grid())
-    return round_cols(round_cols(out, ["coverage", "mean_target_score"], 6), ["target_spend"], 2)
+    exact = round_cols(round_cols(out, ["mean_target_score"], 12), ["target_spend"], 2)
+    return round_cols(exact, ["coverage"], 10)
 
 
 @query(
