@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from campaign_engine.operators.order_stats import EXACT_ROWS, sorted_positions
-from campaign_engine.operators.shape import bounded_broadcast, long_values
+from campaign_engine.operators.shape import SMALL_ROWS, bounded_broadcast, collected, long_values
 
 NULL_CLASS = "nan"
 
@@ -17,17 +17,21 @@ NULL_CLASS = "nan"
 def label_dictionary(df: DataFrame, cols: Sequence[str], limit: int = EXACT_ROWS) -> DataFrame:
     """(variable, value, code): codes from 0 in code-point order; null is a class of its own.
 
-    Columns with more than ``limit`` values are numbered through a distributed sort instead of a window.
+    Few values in all are fetched once and numbered as a local table. Columns with more than ``limit`` values
+    are numbered through a distributed sort instead of a window.
     """
     values = (
         long_values(df, cols, "string")
         .select("variable", F.coalesce("value", F.lit(NULL_CLASS)).alias("value"))
         .distinct()
     )
+    w = Window.partitionBy("variable").orderBy("value")
+    code = (F.row_number().over(w) - 1).cast("int")
+    if limit >= SMALL_ROWS and (local := collected(values)) is not None:
+        return local.withColumn("code", code)
     sizes = {r["variable"]: r["count"] for r in values.groupBy("variable").count().collect()}  # one row per column
     wide = [c for c, n in sizes.items() if n > limit]
-    w = Window.partitionBy("variable").orderBy("value")
-    codes = values.filter(~F.col("variable").isin(wide)).withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    codes = values.filter(~F.col("variable").isin(wide)).withColumn("code", code)
     for c in wide:
         one = sorted_positions(values.filter(F.col("variable") == c), "value", name="code")
         codes = codes.unionByName(one.withColumn("code", F.col("code").cast("int")))

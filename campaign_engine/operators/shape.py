@@ -7,25 +7,34 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 SMALL_ROWS = 10_000
 SMALL_BYTES = 16 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a lookup table if it has at most ``max_rows`` rows and ``SMALL_BYTES`` of text, else leave the
-    join to the optimizer, which sorts and merges large sides and splits partitions that a frequent key makes
-    too large."""
+def collected(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
+    """The rows as a local table if there are at most ``max_rows`` with ``SMALL_BYTES`` of text, else None.
+
+    One job: the sum of text bytes over the first rows decides whether any of them are fetched.
+    """
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     first = df.limit(max_rows + 1)
     if texts:
         length = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in texts), F.lit(0))
-        if (first.agg(F.sum(length)).first()[0] or 0) > SMALL_BYTES:
-            return df
+        first = first.withColumn("_bytes", F.sum(length).over(Window.partitionBy()))
+        first = first.filter(F.col("_bytes") <= SMALL_BYTES).drop("_bytes")
     rows = first.collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    if not rows or len(rows) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Broadcast a lookup table that is small in rows and bytes, else leave the join to the optimizer, which
+    sorts and merges large sides and splits partitions that a frequent key makes too large."""
+    local = collected(df, max_rows)
+    return df if local is None else F.broadcast(local)
 
 
 def rows_from(one_row: DataFrame, items: Mapping[str, Mapping[str, Column]], key: str = "column") -> DataFrame:
