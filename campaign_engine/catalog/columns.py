@@ -89,14 +89,14 @@ def _clip(spark, sf_dir):
     "round_int",
     with_tables(
         "SELECT client_id, CAST(round_even(marketing_spend_per_user / 0.5, 0) AS BIGINT) AS half_units, "
-        "CAST(round_even(satisfaction_score / 2, 0) AS BIGINT) AS satisfaction_score FROM client_profile"
+        "CAST(round_even(coalesce(satisfaction_score, 1) / 2, 0) AS BIGINT) AS satisfaction_score FROM client_profile"
     ),
 )
 def _round_int(spark, sf_dir):
     df = profile(spark, sf_dir).select(
         "client_id",
         (F.col("marketing_spend_per_user") / 0.5).alias("half_units"),
-        (F.col("satisfaction_score") / 2).alias("satisfaction_score"),
+        (F.coalesce("satisfaction_score", F.lit(1.0)) / 2).alias("satisfaction_score"),
     )
     return ops.round_int(df, ["half_units", "satisfaction_score"])
 
@@ -236,11 +236,11 @@ def _eng_features(spark, sf_dir):
 @query(
     "target_flip",
     with_tables(
-        "SELECT client_id, 1 - CAST(subscription_type = 'Annual' AS INTEGER) AS y FROM client_profile "
+        "SELECT client_id, 1 - CAST(CAST(subscription_type = 'Annual' AS INTEGER) AS DOUBLE) AS y FROM client_profile"
     ),
 )
 def _target_flip(spark, sf_dir):
-    y = (F.col("subscription_type") == "Annual").cast("int").alias("y")
+    y = (F.col("subscription_type") == "Annual").cast("double").alias("y")
     return ops.flip_target(client_profile(spark, sf_dir).select("client_id", y), "y")
 
 

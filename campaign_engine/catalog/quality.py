@@ -127,7 +127,7 @@ def _null_total(spark, sf_dir):
 
 _CLEAN_COLS = [*_RAW_COLS, "fx_usd_to_clp", "total_spent_usd", "avg_order_value_usd"]
 _WIDE = (
-    'SELECT coalesce(a."column", b."column") AS "column", a.nulls_raw, b.nulls_clean FROM ('
+    'SELECT coalesce(a."column", b."column") AS "column", CAST(a.nulls_raw AS DOUBLE) AS nulls_raw, CAST(b.nulls_clean AS DOUBLE) AS nulls_clean FROM ('
     + _nulls_sql(_RAW_COLS, "client_profile", "nulls_raw")
     + ") a FULL JOIN ("
     + _nulls_sql(_CLEAN_COLS, "cleaned", "nulls_clean")
@@ -137,12 +137,14 @@ _WIDE = (
 
 @query("null_compare", with_tables(_WIDE, start="cleaned"))
 def _null_compare(spark, sf_dir):
-    return ops.null_compare(profile(spark, sf_dir), cleaned(spark, sf_dir))
+    """As double, since a column of only one table has no count on the other side."""
+    both = ops.null_compare(profile(spark, sf_dir), cleaned(spark, sf_dir))
+    return both.select("column", F.col("nulls_raw").cast("double"), F.col("nulls_clean").cast("double"))
 
 
 @query("join_outer_align", with_tables(_WIDE, start="cleaned"))
 def _join_outer_align(spark, sf_dir):
-    return ops.null_compare(profile(spark, sf_dir), cleaned(spark, sf_dir))
+    return _null_compare(spark, sf_dir)
 
 
 @query(

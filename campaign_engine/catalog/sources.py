@@ -115,7 +115,7 @@ def _src_dictionary(spark, sf_dir):
 
 @query(
     "src_rates",
-    "SELECT 'USD' AS base, 'CLP' AS quote, value AS rate, date_trunc('second', ts) AS as_of, event_type AS source FROM events "
+    "SELECT 'USD' AS base, 'CLP' AS quote, value AS rate, strftime(ts, '%Y-%m-%d %H:%M:%S') AS as_of, event_type AS source FROM events "
     "WHERE event_type <> 'error'",
 )
 def _src_rates(spark, sf_dir):
@@ -130,7 +130,8 @@ def _src_rates(spark, sf_dir):
     path = scratch(spark, "rates")
     table(spark, sf_dir, "events").select(cut.alias("value")).write.text(path)
     rates = side_tables.rate_rows(spark.read.text(path))
-    return rates.withColumn("as_of", F.col("as_of").cast("timestamp_ntz"))
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("as_of").cast("timestamp_ntz"))
+    return rates.withColumn("as_of", F.date_format(utc, "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campaign_engine.functions.numeric import round_places
 from campaign_engine.schemas import FX_BASE, FX_FALLBACK, FX_QUOTE, FX_TTL_HOURS
 
 
+def _utc(moment: datetime) -> datetime:
+    return moment if moment.tzinfo is None else moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def resolve_rate(
     rates: DataFrame,
     as_of: datetime,
@@ -20,9 +25,14 @@ def resolve_rate(
     base: str = FX_BASE,
     quote: str = FX_QUOTE,
 ) -> DataFrame:
-    """One row (rate, origin): the latest positive rate within the TTL, else the latest older one, else the fallback."""
-    moment = F.lit(as_of).cast("timestamp_ntz")
-    at = F.col("as_of").cast("timestamp_ntz")
+    """One row (rate, origin): the latest positive rate within the TTL, else the latest older one, else the fallback.
+
+    ``as_of`` without a time zone is UTC, like times in the rates table; the session's zone does not matter.
+    """
+    moment = F.lit(str(_utc(as_of))).cast("timestamp_ntz")
+    at = F.col("as_of")
+    if isinstance(rates.schema["as_of"].dataType, T.TimestampType):
+        at = F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
     usable = rates.filter((F.col("base") == base) & (F.col("quote") == quote) & (F.col("rate") > 0) & (at <= moment))
     fresh = at >= moment - F.make_dt_interval(hours=F.lit(ttl_hours))
     found = usable.agg(

@@ -1,11 +1,13 @@
 """Text, numbers, imputation, outliers, codes."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from campaign_engine.functions.text import is_human_text, null_tokens, title, to_double
 from campaign_engine.operators import columns, encode, impute, outliers
-from campaign_engine.operators.fx import fx_enrich, rate_column
+from campaign_engine.operators.fx import fx_enrich, rate_column, resolve_rate
 from campaign_engine.plans import cleaning
 from campaign_engine.schemas import CAT_COLS, NUMERIC_COLS, WINSOR_COLS
 from campaign_engine.sources.client_profile import client_profile
@@ -127,3 +129,19 @@ def test_fx_without_rates_uses_the_fallback(spark):
     df = spark.createDataFrame([(1800.0,)], "total_spent double")
     row = fx_enrich(df, rate_column(None, None), ["total_spent", "missing"]).first()
     assert row["fx_usd_to_clp"] == 900.0 and row["total_spent_usd"] == 2.0
+
+
+def test_rates_do_not_depend_on_the_time_zone(spark):
+    rows = [("USD", "CLP", 910.0, "2024-01-01 10:00:00"), ("USD", "CLP", -1.0, "2024-01-01 11:00:00")]
+    text = spark.createDataFrame(rows, "base string, quote string, rate double, as_of string")
+    ntz = text.withColumn("as_of", F.col("as_of").cast("timestamp_ntz"))
+    for zone in ("UTC", "America/Santiago"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            zoned = text.withColumn("as_of", F.to_timestamp(F.concat("as_of", F.lit("+00:00"))))
+            for rates in (ntz, zoned):
+                got = [resolve_rate(rates, datetime(2024, 1, d, 10)).first() for d in (1, 2, 3)]
+                assert [r["origin"] for r in got] == ["fresh", "fresh", "stale"] and got[0]["rate"] == 910.0
+                assert resolve_rate(rates, datetime(2024, 1, 1, 9)).first()["origin"] == "fallback"
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
