@@ -8,7 +8,8 @@ Texts are lower-cased (A-Z) and split at ASCII white space; a document's set hol
   shifted by 0, 1, 2, ... around the circle. Both are bijections of the 32-bit numbers.
 * Exact copies are one class from the start. Classes that share a bucket of a band are candidates. Each is compared
   with one representative of the bucket; then those that a bucket still holds in several components are compared
-  across components, in bounded blocks by signature. All links are confirmed on the full sets of shingles.
+  across components in bounded blocks, by signature, then by sets; one link of a row with each other component is
+  enough there. All links are confirmed on the full sets of shingles.
 * Two documents at the threshold itself share no bucket with probability (1 - 0.8^rows)^bands (6e-5 by default).
 
 Null and empty texts have no shingles and no links. Rows without an id link like others, but their id never names a
@@ -28,7 +29,7 @@ from campaign_engine.llm.shared import components, lookup, ship, slices, stored
 from campaign_engine.llm.words import LOWER, hashed_words
 
 BANDS, ROWS = 32, 6
-BLOCK = 2048  # rows that are compared with as many others at once
+BLOCK = 512  # rows that are compared with as many others at once
 FAN = 500  # pairs with one representative in a task
 _FEATURES = "shingles long, bands array<long>, signature binary"
 
@@ -152,25 +153,59 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return both.mapInArrow(_linked(words, percent), "a long, b long")
 
 
-def _across(size: int, percent: int):
-    """Pairs of a block whose components differ and whose signatures agree about as often as linked ones do."""
+def _facing(table: pa.Table, size: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, other rows) of a block: rows of other components whose signatures agree about as often as linked ones do,
+    where no earlier band already holds both."""
     share = percent / 100
     least = size * share - 4.5 * np.sqrt(size * share * (1 - share))
+    label, side = (table.column(c).to_numpy() for c in ("label", "side"))
+    signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(label), size)
+    keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(label), -1)
+    band = int(np.argmax(keys[0] == table.column("key")[0].as_py()))
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for i in left:
+        others = right if len(right) else left[left > i]
+        others = others[label[others] != label[i]]
+        others = others[np.count_nonzero(signs[others] == signs[i], axis=1) >= least]
+        yield i, others[~(keys[others, :band] == keys[i, :band]).any(axis=1)]
+
+
+def _worth(size: int, percent: int):
+    """The rows of a block that face any other."""
+
+    def select(table: pa.Table) -> pa.Table:
+        keep = np.zeros(table.num_rows, bool)
+        for i, others in _facing(table, size, percent):
+            keep[others] = True
+            keep[i] |= len(others) > 0
+        return table.filter(pa.array(keep))
+
+    return select
+
+
+def _across(size: int, words: int, percent: int):
+    """Links of a block across components: of each row and each other component, the closest by hashed shingles."""
 
     def compare(table: pa.Table) -> pa.Table:
-        node, label, side, stray, many = (table.column(c).to_numpy() for c in ("node", "label", "side", "stray", "many"))
-        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(node), size)
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        out_a, out_b = [], []
-        for i in left:
-            others = right if len(right) else left[left > i]
-            others = others[label[others] != label[i]]
-            agree = np.count_nonzero(signs[others] == signs[i], axis=1)
-            found = others[agree >= least]
-            out_a.append(node[found])
-            out_b.append(np.full(len(found), node[i]))
-        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "n": np.full(len(a), many[0] if len(many) else 0, np.int64)})
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+        texts, sets = table.column("text"), {}
+
+        def of(row: int) -> set:
+            if row not in sets:
+                sets[row] = set(distinct_shingles(pa.array([texts[row].as_py()], pa.large_string()), words)[0].tolist())
+            return sets[row]
+
+        out = []
+        for i, others in _facing(table, size, percent):
+            best: dict[int, tuple[float, int]] = {}
+            for j in others.tolist():
+                same = len(of(i) & of(j))
+                union = len(of(i)) + len(of(j)) - same
+                if 100 * same >= percent * union:
+                    best[label[j]] = max(best.get(label[j], (-1.0, -1)), (same / union, int(node[j])))
+            out.extend((int(node[i]), other) for _, other in best.values())
+        a, b = (np.array([p[k] for p in out], np.int64) for k in (0, 1))
+        return pa.table({"a": a, "b": b, "n": np.full(len(a), table.num_rows, np.int64)})
 
     return compare
 
@@ -217,10 +252,13 @@ def groups(
     with_strays = split.filter("stray").select("*", F.explode(F.expr("sequence(0, s - 1)")).alias("o"), F.lit(1).alias("kind")).withColumns(
         {"i": F.least("o", "own"), "j": F.greatest("o", "own"), "side": F.expr("int(own > o)")}
     )
-    blocks = with_main.unionByName(with_strays).join(classes.select("node", "signature"), "node")
-    cross = blocks.select("key", "kind", "i", "j", "node", "label", "side", "stray", "many", "signature").groupBy(
-        "key", "kind", "i", "j"
-    ).applyInArrow(_across(bands * rows, percent), "a long, b long, n long")
+    blocks = with_main.unionByName(with_strays).join(classes.select("node", "signature", "bands"), "node")
+    parts = ["key", "kind", "i", "j"]
+    blocks = blocks.select(*parts, "node", "label", "side", "signature", "bands")
+    facing = blocks.groupBy(*parts).applyInArrow(_worth(bands * rows, percent), blocks.schema)
+    cross = facing.join(texts, "node").groupBy(*parts).applyInArrow(
+        _across(bands * rows, shingle, percent), "a long, b long, n long"
+    )
     pairs = stored(cross.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("n").alias("n")))
     more = stored(_confirmed(pairs, texts, shingle, percent))
     labels = stored(components(links.unionByName(more)))

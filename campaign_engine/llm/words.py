@@ -13,10 +13,11 @@ SPACES = (9, 10, 11, 12, 13, 32)
 
 @dataclass
 class Words:
-    """``hashes``: one for each word; ``ends[d - 1] : ends[d]`` are the words of document d."""
+    """``hashes`` and ``begin`` (place of the first byte): one for each word; ``ends[d - 1] : ends[d]`` are those of text d."""
 
     hashes: np.ndarray
     ends: np.ndarray
+    begin: np.ndarray
 
     def start(self) -> np.ndarray:
         return np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
@@ -75,7 +76,7 @@ def hashed_words(texts: pa.Array, lower: bool = True, word_bytes: np.ndarray | N
     hashes = np.empty(len(begin), np.uint64)
     if len(begin):
         _hash_spans(sums, begin, end, hashes)
-    return Words(hashes, np.searchsorted(begin, at[1:]))
+    return Words(hashes, np.searchsorted(begin, at[1:]), begin)
 
 
 _TABLE: list[np.ndarray] = []
