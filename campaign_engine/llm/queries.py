@@ -4,24 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from campaign_engine.llm import near_duplicates
+from campaign_engine.llm import decontaminate, near_duplicates, packing, quality, secret_scan, token_files, toxicity
+from campaign_engine.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; a source is an owner and each document a repository of its own."""
+    return secret_scan.scan(_table(spark, sf_dir, "documents"), owner_col="source", repository_col="doc_id")
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents, by windows of 13 words."""
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), width=13)
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among all documents: two-word shingles, similarity of 0.8 or more."""
     return near_duplicates.groups(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op4_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to files of Simple-8b words and read back."""
+    path = scratch_path(spark)
+    token_files.write(_table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
+    return token_files.digests(spark, path)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, size=2048, end_id=0)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_secret_ownership": op1_secret_ownership,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_simple8b_token_files": op4_simple8b_token_files,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
+    "op10_sum_of_squares_packing": op10_sum_of_squares_packing,
 }
 SQL: dict[str, str] = {}
 
