@@ -7,11 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from campaign_engine.llm import decontaminate, near_duplicates, packing, quality, secret_scan, token_files, toxicity
+from campaign_engine.llm import (
+    chat,
+    decontaminate,
+    near_duplicates,
+    neighbours,
+    packing,
+    quality,
+    secret_scan,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from campaign_engine.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +52,22 @@ def op4_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op5_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents under a unigram model."""
+    return token_counts.counted(_table(spark, sf_dir, "documents"), PIECES)
+
+
+def op6_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations that are no prefix of another one, rendered."""
+    return chat.rendered(_table(spark, sf_dir, "conversations"))
+
+
+def op7_collision_counting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every vector whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents."""
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -60,11 +88,33 @@ QUERIES: dict[str, Query] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_simple8b_token_files": op4_simple8b_token_files,
+    "op5_trie_token_counts": op5_trie_token_counts,
+    "op6_snapshot_collapse": op6_snapshot_collapse,
+    "op7_collision_counting_search": op7_collision_counting_search,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_sum_of_squares_packing": op10_sum_of_squares_packing,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_snapshot_collapse": """
+with turns as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
+ordered as (
+  select conv_id, row_number() over w as k,
+         string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), '') over w as text,
+         sha256(string_agg(
+           case when role is null then '-1:' else strlen(role)::varchar || ':' || role end
+           || case when text is null then '-1:' else strlen(text)::varchar || ':' || text end, '') over w) as name
+  from turns window w as (partition by conv_id order by turn nulls first, role nulls first, text nulls first
+                          rows between unbounded preceding and current row)),
+sizes as (select conv_id, max(k) as n from ordered group by conv_id),
+whole as (select o.conv_id, o.text, o.name, s.n from ordered o join sizes s on o.conv_id = s.conv_id and o.k = s.n),
+prefixes as (select distinct o.name from ordered o join sizes s on o.conv_id = s.conv_id where o.k < s.n),
+firsts as (select name, min(conv_id) as conv_id, count(*) as copies from whole group by name)
+select w.conv_id, w.n as n_turns, f.copies, w.text
+from firsts f join whole w on w.conv_id = f.conv_id
+where f.name not in (select name from prefixes)
+""",
+}
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
