@@ -234,7 +234,7 @@ def groups(
 
     stars = shared.filter("node <> rep").groupBy(F.col("node").alias("a"), F.col("rep").alias("b")).agg(F.max("n").alias("n"))
     links = stored(_confirmed(stars, texts, shingle, percent))
-    first = components(links)
+    first = stored(components(links))
 
     labelled = stored(
         shared.filter("n > 2").join(first, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
@@ -261,7 +261,8 @@ def groups(
     )
     pairs = stored(cross.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("n").alias("n")))
     more = stored(_confirmed(pairs, texts, shingle, percent))
-    labels = stored(components(links.unionByName(more)))
+    stars_of_first = first.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    labels = first if more.isEmpty() else stored(components(stars_of_first.unionByName(more)))
 
     named = classes.select("node", "print", "first_id", "copies", "shingles").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")

@@ -68,9 +68,11 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame
     Keys with over a thousandth of all rows, at most a thousand of them, are broadcast, so their rows aren't
     shuffled; all other keys are joined by a shuffle. ``table`` must be cheap to read (stored).
     """
-    total = table.agg(F.sum(count)).first()[0] or 0
-    hot = table.filter(F.col(count) > max(100, total // HOT_KEYS))
-    cold = table.filter(F.col(count) <= max(100, total // HOT_KEYS))
+    total, most = table.agg(F.sum(count), F.max(count)).first()
+    limit = max(100, (total or 0) // HOT_KEYS)
+    if (most or 0) <= limit:
+        return rows.join(table, key)
+    hot, cold = table.filter(F.col(count) > limit), table.filter(F.col(count) <= limit)
     among_hot = rows.join(F.broadcast(hot), key)
     others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return among_hot.unionByName(others)
