@@ -1,6 +1,7 @@
 """Binary labels of texts by logistic regression over hashed word n-grams, learnt by FTRL-proximal updates.
 
-Features are hashes of words, of runs of ``grams`` consecutive words and of pairs with ``skips`` words left out.
+Features are hashes of words, of runs of ``grams`` consecutive words and of pairs with ``skips`` words left out; with
+``stem``, also of the words' first bytes, so that forms of one word share a weight.
 Words are runs of letters and digits; with ``symbols``, runs of other signs are words too, case is kept and a word
 like the one before is replaced by a mark, so that repetition is visible. A feature's value is 1, or with ``scaled``
 its count divided by the length of the count vector.
@@ -38,6 +39,7 @@ class Model:
 
     grams: int = 2
     skips: tuple[int, ...] = ()
+    stem: int = 0
     symbols: bool = False
     scaled: bool = False
     bits: int = 20
@@ -82,6 +84,10 @@ def features(texts: pa.Array, model: Model) -> Iterator[tuple[np.ndarray, np.nda
         same = doc[:-step] == doc[step:]
         found.append((left * np.uint64(0x9FB21C651E98DF25) + right + np.uint64(97 + skip))[same])
         owner.append(doc[:-step][same])
+    if model.stem:
+        stems = hashed_words(texts, word_bytes=_LETTERS, head=model.stem)
+        found.append(stems.hashes ^ _MARK)
+        owner.append(np.repeat(np.arange(len(texts)), np.diff(stems.ends, prepend=0)))
     index = (mixed(np.concatenate(found)) >> np.uint64(64 - model.bits)).astype(np.int32)
     owner = np.concatenate(owner)
     order = np.argsort(owner, kind="stable")

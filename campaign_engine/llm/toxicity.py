@@ -1,4 +1,4 @@
-"""Toxicity of texts: FTRL-proximal logistic regression over hashed words, word pairs and skip-grams (see ftrl)."""
+"""Toxicity of texts: FTRL-proximal logistic regression over hashed words, stems, pairs and skip-grams (see ftrl)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from campaign_engine.llm import ftrl
 
-MODEL = ftrl.Model(grams=2, skips=(1,), alpha=1.0, l1=3.0, l2=0.0, epochs=3)
+MODEL = ftrl.Model(grams=2, skips=(1,), stem=5, alpha=1.0, l1=5.0, l2=0.0, epochs=4, fit_rows=12_000)
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 

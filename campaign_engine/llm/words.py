@@ -45,9 +45,11 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def hashed_words(texts: pa.Array, lower: bool = True, word_bytes: np.ndarray | None = None) -> Words:
+def hashed_words(texts: pa.Array, lower: bool = True, word_bytes: np.ndarray | None = None, head: int = 0) -> Words:
     """Words of each text (a large_string array without nulls): runs of ``word_bytes``, else of all but white space.
 
+    With ``head``, of each word only so many first bytes are hashed.
+
     The hash of a word is a polynomial of its bytes modulo 2^64, from differences of one running sum, then mixed.
     """
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -74,6 +76,8 @@ def hashed_words(texts: pa.Array, lower: bool = True, word_bytes: np.ndarray | N
         np.multiply(part, _power_table()[0][: len(part)], out=part)
         sums[s + 1 : s + 1 + len(part)] = part
     hashes = np.empty(len(begin), np.uint64)
+    if head:
+        end = np.minimum(end, begin + head - 1)
     if len(begin):
         _hash_spans(sums, begin, end, hashes)
     return Words(hashes, np.searchsorted(begin, at[1:]), begin)
