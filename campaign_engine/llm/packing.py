@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str
         encoder = loaded(tokenizer)
         for batch in batches:
             done = 0
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), 1 << 22):
                 ids, counts = with_end(*encoder.encode(texts), end_id)
                 data, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(counts)
                 n = -(-counts // size)

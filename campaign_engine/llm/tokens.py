@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 class TextTokens:
     """Encoder with a table of at most ``limit`` chunks (beyond it the table starts anew)."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         self.full, self.limit = Tokenizer.from_file(path), limit
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
@@ -71,6 +72,8 @@ class TextTokens:
         texts = texts.cast(pa.large_string()).fill_null("")
         if not self.by_chunk:
             return self._whole(texts.to_pylist())
+        if not pc.any(pc.match_substring(texts, "<")).as_py():  # else lower case could make a special token
+            texts = pc.ascii_lower(texts)
         chunks = pc.ascii_split_whitespace(texts)
         each = pc.list_value_length(chunks).to_numpy(zero_copy_only=False)
         seen = chunks.flatten().dictionary_encode()
@@ -85,19 +88,24 @@ class TextTokens:
         return np.concatenate(found or [np.empty(0, np.int32)]), np.array([len(f) for f in found], np.int64)
 
     def _codes(self, chunks: list[str]) -> np.ndarray:
+        """Numbers of distinct chunks in the table, which gets those it lacks."""
         if len(self.codes) + len(chunks) > self.limit:
             self._forget()
-        new = [c for c in chunks if c not in self.codes]
-        if new:
-            plain = [(c.isascii() and c.isprintable() or _PLAIN.fullmatch(c) is not None) and "<" not in c for c in new]
-            short, other = [c for c, p in zip(new, plain) if p], [c for c, p in zip(new, plain) if not p]
-            for names, (ids, counts) in ((short, self._merged(short)), (other, self._whole(other))):
-                first = len(self.codes)
-                self.codes.update(zip(names, range(first, first + len(names))))
+        found = np.fromiter(map(self.codes.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [chunks[i] for i in missing]
+            plain = np.array([(c.isascii() and c.isprintable() or _PLAIN.fullmatch(c) is not None) and "<" not in c for c in new])
+            for place, encode in ((np.flatnonzero(plain), self._merged), (np.flatnonzero(~plain), self._whole)):
+                names = [new[i] for i in place]
+                ids, counts = encode(names)
+                numbers = np.arange(len(self.codes), len(self.codes) + len(names))
+                self.codes.update(zip(names, numbers.tolist()))
+                found[missing[place]] = numbers
                 self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
                 self.counts = np.concatenate([self.counts, counts])
                 self.flat = np.concatenate([self.flat, ids])
-        return np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
+        return found
 
     def _merged(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = _PIECES.findall("".join(c.lower() + "\n" for c in chunks))
