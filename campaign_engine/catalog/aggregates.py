@@ -31,7 +31,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 )
 def _pivot(spark, sf_dir):
     df = normalized(spark, sf_dir).withColumn("channel", F.upper("acquisition_channel"))
-    wide = ops.pivot_metrics(df, "country", "channel", "total_spent", SEGMENTS)
+    wide = ops.pivot_metrics(df, "country", "channel", "total_spent")
     return wide.select(
         "country",
         *[round_places(F.col(f"{s}_mean"), 6).alias(f"{s.lower()}_mean") for s in SEGMENTS],

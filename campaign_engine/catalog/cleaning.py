@@ -268,6 +268,21 @@ def _clean_notebook(spark, sf_dir):
     return cleaning.clean(profile(spark, sf_dir), "notebook")
 
 
+@query(
+    "encode_notebook",
+    f"WITH notebook AS ({_notebook_sql()}), {_codes_sql('notebook')} SELECT client_id, "
+    + ", ".join(
+        f"CAST((SELECT code FROM codes WHERE variable = '{c}' AND value = coalesce(n.{c}, 'nan')) AS INTEGER) AS {c}"
+        for c in CAT_COLS
+    )
+    + " FROM notebook n",
+)
+def _encode_notebook(spark, sf_dir):
+    """Codes of the notebook profile's categories."""
+    coded, _ = cleaning.encoded(cleaning.clean(profile(spark, sf_dir), "notebook"), "notebook")
+    return coded.select("client_id", *CAT_COLS)
+
+
 @query(
     "agg_country_sub",
     with_tables(
@@ -278,8 +293,9 @@ def _clean_notebook(spark, sf_dir):
     ),
 )
 def country_subscription(spark, sf_dir):
-    """First slice end to end: text, numbers, imputation, winsorising, grouping."""
-    df = outliers.winsorize_iqr(imputed(spark, sf_dir), WINSOR_COLS)
+    """First slice end to end: text, numbers, imputation, winsorising, grouping; only of the columns it answers with."""
+    needed = profile(spark, sf_dir).select("client_id", "country", "subscription_type", "total_spent")
+    df = outliers.winsorize_iqr(cleaning.imputed(cleaning.normalized(needed)), ["total_spent"])
     return group_profile(
         df,
         ["country", "subscription_type"],

@@ -169,9 +169,9 @@ _LABELS = ["avg_order_value", "lifetime_value", "total_visits", "pages_per_sessi
 @query(
     "inertia_given_labels",
     with_tables(
-        "SELECT " + rnd("sum(ss)", 2) + " AS inertia FROM (SELECT count(*) * ("
-        + " + ".join(f"var_pop({c})" for c in _LABELS[3:])
-        + ") AS ss FROM client_profile GROUP BY payment_method)"
+        "SELECT " + rnd("sum(ss)", 2) + " AS inertia FROM (SELECT "
+        + " + ".join(f"coalesce(({c} - avg({c}) OVER g) ** 2, 0)" for c in _LABELS[3:])
+        + " AS ss FROM client_profile WINDOW g AS (PARTITION BY payment_method))"
     ),
 )
 def _inertia(spark, sf_dir):

@@ -10,6 +10,7 @@ from campaign_engine.catalog.base import fence_sql, number_sql, profile, query,
 from campaign_engine.catalog.cleaning import cleaned, normalized
 from campaign_engine.operators import quality as ops
 from campaign_engine.operators.columns import round_cols
+from campaign_engine.plans import cleaning
 from campaign_engine.schemas import CAT_COLS, NUMERIC_COLS, Rule, rules_for
 from campaign_engine.sources.client_profile import client_profile, client_raw, table
 
@@ -221,12 +222,29 @@ def _category_compare(spark, sf_dir):
     "row_consistency",
     with_tables(
         "SELECT *, rows_clean <= rows_raw AS consistent FROM (SELECT (SELECT count(*) FROM client_raw) AS rows_raw, "
-        "(SELECT count(*) FROM client_profile) AS rows_clean)",
+        "(SELECT count(*) FROM client_raw) AS rows_clean)",
         start="raw",
     ),
 )
 def _row_consistency(spark, sf_dir):
-    return ops.row_consistency(client_raw(spark, sf_dir), client_profile(spark, sf_dir))
+    """Cleaning keeps every row."""
+    raw = client_raw(spark, sf_dir)
+    return ops.row_consistency(raw, cleaning.clean(raw))
+
+
+def _verdict_sql(checks: str) -> str:
+    return (
+        "SELECT count(*) FILTER (WHERE severity = 'ERROR') = 0 AS is_valid, count(*) FILTER (WHERE severity = 'ERROR') AS errors, "
+        f"count(*) FILTER (WHERE severity = 'WARNING') AS warnings FROM ({checks})"
+    )
+
+
+@query(
+    "validity_verdict",
+    with_tables(_verdict_sql(_checks_sql(_RULES_RAW, "client_profile", "RAW", True) + " UNION ALL " + _extra_sql(_EXTRA_RAW, "RAW"))),
+)
+def _validity_verdict(spark, sf_dir):
+    return ops.verdict(ops.validate_schema(profile(spark, sf_dir), _RULES_RAW, "RAW"))
 
 
 _KINDS = {c: "bigint" if c in ("total_visits", "support_tickets", "delivery_delay_days") else "double" for c in NUMERIC_COLS}

@@ -33,8 +33,13 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def outside(c: Column, low: Column | float, high: Column | float) -> Column:
-    """Not null and outside [low, high]."""
-    return c.isNotNull() & ((c < low) | (c > high))
+    """Known and outside [low, high]; NaN, which Spark orders above all numbers, is not known."""
+    return c.isNotNull() & ((c < low) | ((c > high) & ~F.isnan(c.cast("double"))))
+
+
+def reaches(c: Column, threshold: float) -> Column:
+    """At or above the threshold; null where the value is null or NaN."""
+    return known(c.cast("double")) >= threshold
 
 
 def hash_number(key: Column, seed: int) -> Column:

@@ -22,13 +22,19 @@ def group_profile(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column])
 
 
 def pivot_metrics(
-    df: DataFrame, index: str, columns: str, value: str, names: Sequence[str], fill: float = 0
+    df: DataFrame, index: str, columns: str, value: str, names: Sequence[str] | None = None, fill: float = 0
 ) -> DataFrame:
     """Mean and count of a value per (index, column); absent cells become ``fill``.
 
-    The column values are passed in, which saves the job that would look them up.
+    All values of the column get cells. ``names`` only saves the job that looks them up; a value it lacks is an error.
     """
     keyed = df.na.drop(subset=[index, columns])
+    if names is None:
+        names = category_names(keyed, columns)
+    else:
+        listed = F.col(columns).isin(list(names))
+        wrong = F.raise_error(F.concat(F.lit(f"{columns} has an unlisted value: "), F.col(columns).cast("string")))
+        keyed = keyed.withColumn(columns, F.when(listed, F.col(columns)).otherwise(wrong))
     wide = keyed.groupBy(index).pivot(columns, list(names)).agg(
         F.avg(value).alias("mean"), F.count(value).alias("count")
     )

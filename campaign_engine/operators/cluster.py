@@ -85,8 +85,8 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = (2, 3, 4, 5, 6
 
 def inertia(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Sum of squared distances to the mean of the own cluster, for given labels."""
-    within = sum((F.var_pop(c) for c in cols), F.lit(0.0))
-    parts = df.groupBy(label).agg((within * F.count("*")).alias("ss"))
+    within = sum((F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)) for c in cols), F.lit(0.0))
+    parts = df.groupBy(label).agg(within.alias("ss"))
     return parts.agg(F.sum("ss").alias("inertia"))
 
 

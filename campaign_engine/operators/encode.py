@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from campaign_engine.operators.order_stats import EXACT_ROWS, sorted_positions
-from campaign_engine.operators.shape import SMALL_ROWS, bounded_broadcast, collected, long_values
+from campaign_engine.operators.shape import SMALL_ROWS, collected, long_values
+from campaign_engine.session import ensure_checkpoint_dir
 
 NULL_CLASS = "nan"
 
@@ -35,15 +36,20 @@ def label_dictionary(df: DataFrame, cols: Sequence[str], limit: int = EXACT_ROWS
     for c in wide:
         one = sorted_positions(values.filter(F.col("variable") == c), "value", name="code")
         codes = codes.unionByName(one.withColumn("code", F.col("code").cast("int")))
-    return codes
+    ensure_checkpoint_dir(df.sparkSession)
+    return codes.checkpoint()  # numbered once, however often it is looked up
 
 
 def _attach(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], key: str, value: str) -> DataFrame:
-    """Replace each column by its partner in the dictionary, which is broadcast only while it is small."""
+    """Replace each column by its partner in the dictionary; the part of each small column is broadcast, the few
+    wide columns are joined last."""
     order = df.columns
-    dictionary = bounded_broadcast(dictionary)
-    for c in cols:
-        part = dictionary.filter(F.col("variable") == c).select(F.col(key).alias("_key"), F.col(value).alias("_value"))
+    local = collected(dictionary)
+    parts = {c: (dictionary if local is None else local).filter(F.col("variable") == c).select(
+        F.col(key).alias("_key"), F.col(value).alias("_value")) for c in cols}
+    small = {c: collected(p) if local is None else p for c, p in parts.items()}
+    for c in sorted(cols, key=lambda name: small[name] is None):
+        part = parts[c] if small[c] is None else F.broadcast(small[c])
         side = F.coalesce(c, F.lit(NULL_CLASS)) if key == "value" else F.col(c)
         df = df.join(part, side == F.col("_key"), "left").withColumn(c, F.col("_value"))
         df = df.drop("_key", "_value")
@@ -52,7 +58,7 @@ def _attach(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], key: str,
 
 def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(encoded table, dictionary)."""
-    dictionary = bounded_broadcast(label_dictionary(df, cols)) if dictionary is None else dictionary
+    dictionary = label_dictionary(df, cols) if dictionary is None else dictionary
     return _attach(df, dictionary, cols, "value", "code"), dictionary
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from campaign_engine.functions.text import is_human_text, strip
 from campaign_engine.operators.shape import bounded_broadcast
 
-# Supported languages, the default one and the size of the work list.
+# Supported languages, the default one and the size of a work list for one call of the service.
 LANGUAGES = ("es", "en")
 DEFAULT_LANG = "es"
 WORKLIST_ROWS = 450
@@ -35,9 +35,10 @@ def translate(df: DataFrame, col: str, dictionary: DataFrame, source: str = "es"
 
 
 def translation_worklist(
-    df: DataFrame, col: str, dictionary: DataFrame, source: str = "es", target: str = "en", limit: int = WORKLIST_ROWS
+    df: DataFrame, col: str, dictionary: DataFrame, source: str = "es", target: str = "en", limit: int | None = None
 ) -> DataFrame:
-    """Distinct human texts that the dictionary lacks, the first ``limit`` in text order."""
+    """Distinct human texts that the dictionary lacks, in text order; all of them unless there is a ``limit``."""
     texts = df.select(strip(F.col(col)).alias("text")).filter(is_human_text(F.col("text"))).distinct()
     known = dictionary.filter(_direction(source, target)).select("text").distinct()
-    return texts.join(known, "text", "left_anti").orderBy("text").limit(limit)
+    missing = texts.join(known, "text", "left_anti").orderBy("text")
+    return missing if limit is None else missing.limit(limit)

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaign_engine.functions.numeric import ratio, round_places
+from campaign_engine.functions.numeric import known, ratio, reaches, round_places
 from campaign_engine.operators.order_stats import EXACT_ROWS, running_totals
 from campaign_engine.operators.shape import stack_tagged
 
@@ -68,7 +68,7 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def with_prediction(df: DataFrame, score: str, threshold: float, name: str = "prediction") -> DataFrame:
-    return df.withColumn(name, (F.col(score) >= threshold).cast("int"))
+    return df.withColumn(name, reaches(F.col(score), threshold).cast("int"))
 
 
 def report_at(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
@@ -82,10 +82,10 @@ def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def _counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(score, pos, neg) per distinct score."""
+    """(score, pos, neg) per distinct score; a NaN score is missing, as null is."""
     y = F.col(label) == 1
-    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return known.groupBy(F.col(score).cast("double").alias("score")).agg(
+    number = known(F.col(score).cast("double"))
+    return df.filter(number.isNotNull() & F.col(label).isNotNull()).groupBy(number.alias("score")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
     )
 

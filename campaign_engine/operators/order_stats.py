@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -25,9 +25,13 @@ EXACT_ROWS = 1_000_000
 SKETCH = 10_000
 MAX_GROUPS = 10_000
 EXPRS_PER_JOB = 40
+GROUP_CUTS = 1_000
 
-# One SQL text instead of two thousand literal columns keeps the plan quick to build.
-_RANGE_ENDS = ", ".join(f"{i / 2000!r}D" for i in range(1, 2000))
+
+
+def _fractions(parts: int, first: int = 0) -> str:
+    """SQL array of i / parts; one SQL text instead of very many literal columns keeps the plan quick to build."""
+    return "array(" + ", ".join(f"{i / parts!r}D" for i in range(first, parts + 1 - first)) + ")"
 
 
 @dataclass
@@ -149,6 +153,8 @@ def column_quantiles(
 
     ``rows``, if the caller knows it, is an upper bound of the number of rows and may save the counting job.
     """
+    if not cols:
+        return {}
     values = {c: known(F.col(c).cast("double")) for c in cols}
     if rows is not None and rows <= limit:
         row = df.agg(*[F.percentile(v, list(probs)).alias(c) for c, v in values.items()]).first()
@@ -156,9 +162,13 @@ def column_quantiles(
     counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
     out: dict[str, list[float] | None] = {c: None for c in cols}
     small = [c for c in cols if 0 < counts[c] <= limit]
-    if small:
-        row = df.agg(*[F.percentile(values[c], list(probs)).alias(c) for c in small]).first()
-        out.update({c: list(row[c]) for c in small})
+    while small:  # the values that one job's buffers hold are bounded for all its columns together
+        part, held = [], 0
+        while small and (not part or held + counts[small[0]] <= limit):
+            held += counts[small[0]]
+            part.append(small.pop(0))
+        row = df.agg(*[F.percentile(values[c], list(probs)).alias(c) for c in part]).first()
+        out.update({c: list(row[c]) for c in part})
     asks: dict[str, dict[int, _Ask]] = {}
     for c in cols:
         if counts[c] > limit:
@@ -177,11 +187,40 @@ def approximate_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     return {c: None if row[c] is None else list(row[c]) for c in cols}
 
 
-def _same_group(row: Row, by: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.lit(row[c]))
-    return match
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_GROUPS else df
+
+
+def _narrow_groups(values: DataFrame, asks: DataFrame, n_asks: int) -> DataFrame:
+    """One narrowing step for all open asks (group, rank) at once: the same jobs for any number of groups."""
+    open_asks = _small(asks.filter("answer IS NULL"), n_asks)
+    keys = ["_g", "rank", "low", "high", "below", "inside"]
+    scoped = values.join(open_asks.select(*keys), "_g").filter("v > low AND v < high")
+    fractions = F.expr(_fractions(GROUP_CUTS))
+    at = (F.col("rank") - F.col("below")) / F.greatest(F.col("inside") - 1, F.lit(1)) * GROUP_CUTS
+    sketches = scoped.groupBy(*keys).agg(F.percentile_approx("v", fractions, SKETCH).alias("q")).select(
+        *keys,
+        F.get("q", F.greatest(F.floor(at - 0.5), F.lit(0)).cast("int")).alias("a"),
+        F.get("q", F.least(F.ceil(at + 0.5), F.lit(GROUP_CUTS)).cast("int")).alias("b"),
+    ).checkpoint()
+    counted = values.join(_small(sketches, n_asks), "_g").filter("v > low AND v < high").groupBy(*keys, "a", "b").agg(
+        F.count_if(F.expr("v < a")).alias("n_less"), F.count_if(F.expr("v = a")).alias("n_a"),
+        F.count_if(F.expr("v > a AND v < b")).alias("n_mid"), F.count_if(F.expr("v = b AND a < b")).alias("n_b"),
+    )
+    steps = counted.withColumn("k", F.expr("rank - below")).select(
+        "_g", "rank",
+        *[F.expr(e).alias(name) for name, e in {
+            "low": "CASE WHEN k < n_less THEN low WHEN k < n_less + n_a + n_mid THEN a ELSE b END",
+            "high": "CASE WHEN k < n_less THEN a WHEN k < n_less + n_a + n_mid THEN b ELSE high END",
+            "below": "below + CASE WHEN k < n_less THEN 0 WHEN k < n_less + n_a + n_mid THEN n_less + n_a "
+                     "ELSE n_less + n_a + n_mid + n_b END",
+            "inside": "CASE WHEN k < n_less THEN n_less WHEN k < n_less + n_a + n_mid THEN n_mid "
+                      "ELSE inside - (n_less + n_a + n_mid + n_b) END",
+            "answer": "CASE WHEN k < n_less THEN NULL WHEN k < n_less + n_a THEN a WHEN k < n_less + n_a + n_mid THEN NULL "
+                      "WHEN k < n_less + n_a + n_mid + n_b THEN b END",
+        }.items()],
+    )
+    return steps.unionByName(asks.filter("answer IS NOT NULL")).checkpoint()
 
 
 def group_quantiles(
@@ -192,28 +231,43 @@ def group_quantiles(
     limit: int = EXACT_ROWS,
     rows: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per group as ``q`` (array). Groups above ``limit`` rows are narrowed, one by one;
-    there can be at most rows/limit of them, all others fit an aggregation buffer."""
+    """Exact quantiles per group as ``q`` (array). Groups above ``limit`` values are narrowed, all in the same few
+    jobs, until an aggregation buffer holds what is left of each; all others fit a buffer from the start."""
     v = known(F.col(col).cast("double"))
     if rows is not None and rows <= limit:
         return df.groupBy(*by).agg(F.percentile(v, list(probs)).alias("q"))
     sizes = df.groupBy(*by).agg(F.count(v).alias("n"))
-    total, biggest = sizes.agg(F.sum("n"), F.max("n")).first()
-    if (biggest or 0) <= limit:
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= limit:
         return df.groupBy(*by).agg(F.percentile(v, list(probs)).alias("q"))
-    limit = max(limit, (total or 0) // MAX_GROUPS)
-    hot = sizes.filter(F.col("n") > limit).collect()
-    found, is_hot, asks = [], F.lit(False), []
-    for g in hot:
-        member = _same_group(g, by) & v.isNotNull()
-        ranks = {r for p in probs for r in (math.floor(p * (g["n"] - 1)), math.ceil(p * (g["n"] - 1)))}
-        asks.append({r: _Ask(tuple(g[c] for c in by), v, member, r, g["n"]) for r in ranks})
-        is_hot = is_hot | _same_group(g, by)
-    _resolve(df, [a for group in asks for a in group.values()], limit)
-    for g, group in zip(hot, asks):
-        found.append((*[g[c] for c in by], [_interpolated(group, p * (g["n"] - 1)) for p in probs]))
-    cold = df.filter(~is_hot).groupBy(*by).agg(F.percentile(v, list(probs)).alias("q"))
-    return cold.unionByName(df.sparkSession.createDataFrame(found, cold.schema)) if found else cold
+    ensure_checkpoint_dir(df.sparkSession)
+    group = F.to_json(F.struct(*by), {"ignoreNullFields": "false"})
+    hot = sizes.filter(F.col("n") > limit).withColumn("_g", group).checkpoint()
+    n_hot = hot.count()
+    places = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in places for f in (F.floor, F.ceil)]))
+    asks = hot.select(
+        "_g", F.explode(ranks).alias("rank"), F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high"),
+        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), F.lit(None).cast("double").alias("answer"),
+    ).checkpoint()
+    n_asks = n_hot * 2 * len(probs)
+    keyed = df.select(group.alias("_g"), v.alias("v")).filter("v IS NOT NULL")
+    values = keyed.join(_small(hot.select("_g"), n_hot), "_g", "left_semi")
+    while not asks.filter((F.col("inside") > limit) & F.col("answer").isNull()).isEmpty():
+        asks = _narrow_groups(values, asks, n_asks)
+    rest = values.join(_small(asks.filter("answer IS NULL"), n_asks), "_g").filter("v > low AND v < high")
+    last = rest.groupBy("_g", "rank", "below").agg(F.sort_array(F.collect_list("v")).alias("s")).select(
+        "_g", "rank", F.get("s", (F.col("rank") - F.col("below")).cast("int")).alias("answer")
+    )
+    answers = asks.filter("answer IS NOT NULL").select("_g", "rank", "answer").unionByName(last)
+    found = answers.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "answer"))).alias("m"))
+
+    def between(place: Column) -> Column:
+        low, high = (F.element_at("m", f(place).cast("long")) for f in (F.floor, F.ceil))
+        return low + (high - low) * (place - F.floor(place))
+
+    exact = hot.join(found, "_g").select(*by, F.array(*[between(x) for x in places]).alias("q"))
+    cold = df.withColumn("_g", group).join(_small(hot.select("_g"), n_hot), "_g", "left_anti")
+    return cold.groupBy(*by).agg(F.percentile(v, list(probs)).alias("q")).unionByName(exact)
 
 
 def group_cuts(
@@ -254,15 +308,14 @@ def running_totals(
     """Running sums over rows sorted by a distinct number, as ``cum_<column>``, with the sum over all rows as
     ``total_<column>``.
 
-    Small inputs use one window. Larger ones are cut into value ranges of about equal size by a sketch; the
-    window runs inside each range and the totals of the earlier ranges (at most 2,000) are added.
+    Small inputs use one window. Larger ones are cut into value ranges of about ``limit`` rows by a sketch; the
+    window runs inside each range and the totals of the earlier ranges are added.
     """
     row = df.agg(
         F.count("*").alias("_rows"),
-        F.expr(f"percentile_approx(CAST(`{order}` AS DOUBLE), array({_RANGE_ENDS}), {SKETCH})").alias("_cuts"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
     ).first()
-    n, cuts = row["_rows"], row["_cuts"]
+    n = row["_rows"]
     wholes = {f"total_{c}": F.lit(row[c]) for c in sums}
 
     def by_order(*keys: str):
@@ -272,6 +325,9 @@ def running_totals(
     if n <= limit:
         w = by_order()
         return df.withColumns({f"cum_{c}": F.sum(c).over(w) for c in sums} | wholes)
+    ranges = max(2, -(-2 * n // limit))
+    sketch = f"percentile_approx(CAST(`{order}` AS DOUBLE), {_fractions(ranges, 1)}, {max(SKETCH, 10 * ranges)})"
+    cuts = df.agg(F.expr(sketch)).first()[0]
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     ranged = Bucketizer(splits=splits, inputCol="_number", outputCol="_range").transform(
         df.withColumn("_number", F.col(order).cast("double"))
@@ -285,7 +341,7 @@ def running_totals(
     )
     offsets = totals.select("_range", *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums])
     return (
-        inner.join(F.broadcast(offsets), "_range")  # one row per range: at most 2,000
+        inner.join(F.broadcast(offsets), "_range")  # one row per range of about limit / 2 rows
         .withColumns({f"cum_{c}": F.col(f"_off_{c}") + F.col(f"_in_{c}") for c in sums})
         .select(*df.columns, *[f"cum_{c}" for c in sums])
         .withColumns(wholes)

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 SMALL_ROWS = 10_000
 SMALL_BYTES = 16 << 20
+BROADCAST_ROWS = 100_000  # of numbers only
 
 
 def collected(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
@@ -37,6 +38,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return df if local is None else F.broadcast(local)
 
 
+def join_frequent(df: DataFrame, right: DataFrame, value: Column, key: str, count: str) -> DataFrame:
+    """Left join of ``value`` with ``right``, which has each key once and in ``count`` how many rows of ``df`` have it.
+
+    Up to ``BROADCAST_ROWS`` keys are broadcast. Of more keys, those that each hold over a thousandth of all rows,
+    at most a thousand, are broadcast, so that their rows aren't shuffled; the others are joined by a shuffle.
+    """
+    rows, total = right.agg(F.count("*"), F.sum(count)).first()
+    if rows <= BROADCAST_ROWS:
+        return df.join(F.broadcast(right), value == F.col(key), "left")
+    frequent = F.col(count) > (total or 0) // 1000
+    hot = right.filter(frequent)
+    among_hot = df.join(F.broadcast(hot), value == F.col(key))
+    others = df.join(F.broadcast(hot.select(key)), value == F.col(key), "left_anti")
+    return among_hot.unionByName(others.join(right.filter(~frequent), value == F.col(key), "left"))
+
+
 def rows_from(one_row: DataFrame, items: Mapping[str, Mapping[str, Column]], key: str = "column") -> DataFrame:
     """Turn the one wide row of an aggregation into one row per item."""
     structs = [

@@ -99,6 +99,7 @@ SEARCHES = {
     "deep": ("random", 12, 4, "roc_auc"),
     "light": ("random", 8, 2, "roc_auc"),
 }
+# The forest that screens feature sets.
 SCREEN_FOREST = {
     "n_estimators": 400,
     "max_depth": 14,
@@ -158,14 +159,18 @@ def tune(
 
     Folds and feature vectors are made once and kept; every fit and its metrics are distributed jobs.
     """
-    marked = with_fold(with_weight(df, class_weights(df, label), label), key, k, seed, label)
-    ready = assemble(marked.select(label, "weight", "fold", *cols), cols).select(label, "weight", "fold", "features")
+    marked = with_fold(df, key, k, seed, label)
+    ready = assemble(marked.select(label, "fold", *cols), cols).select(label, "fold", "features")
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     candidates = distinct_forests(combos)
+    parts = {}
+    for fold in range(k):  # weights come from the rows that are learnt, not from those held out
+        part = ready.filter(F.col("fold") != fold)
+        parts[fold] = with_weight(part, class_weights(part, label), label)
 
     def one(i: int, spec: Forest, fold: int):
         def run() -> tuple[int, int, float | None, float | None]:
-            model = _fit(ready.filter(F.col("fold") != fold), spec, label, seed)
+            model = _fit(parts[fold], spec, label, seed)
             held = score(model, ready.filter(F.col("fold") == fold))
             row = metrics.ranking_metrics(held, label, "conversion_score").first()
             return i, fold, row["roc_auc"], row["avg_precision"]

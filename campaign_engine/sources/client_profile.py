@@ -9,13 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campaign_engine.functions.text import lookup
-
-
-# The five order priorities by their leading digit. A numeric minimum keeps the aggregation
-# hash-based; a minimum of strings would sort all orders first.
-_PRIORITIES = {1: "1-URGENT", 2: "2-HIGH", 3: "3-MEDIUM", 4: "4-NOT SPECIFIED", 5: "5-LOW"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,11 +31,12 @@ def _spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     last_order = orders.agg(F.max("o_orderdate")).scalar()
     recent = F.col("o_orderdate") >= last_order - F.expr("interval 90 days")
-    return (
+    pairs = orders.filter(F.col("o_orderpriority").isNotNull()).select("o_custkey", "o_orderpriority").distinct()
+    first = pairs.groupBy("o_custkey").agg(F.array_min(F.collect_set("o_orderpriority")).alias("priority"))
+    sums = (
         orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
         .groupBy("o_custkey")
         .agg(
-            F.min(F.substring("o_orderpriority", 1, 1).cast("int")).alias("priority"),
             F.sum("o_totalprice").alias("spent"),
             F.count("*").alias("n_orders"),
             F.count_if(recent).alias("n_recent"),
@@ -50,6 +44,7 @@ def _spend(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("returned").alias("returned"),
         )
     )
+    return sums.join(first, "o_custkey", "left")
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +118,7 @@ def client_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("c_acctbal") >= 4500, "Annual")
         .otherwise("Monthly")
         .alias("subscription_type"),
-        lookup(F.col("priority"), _PRIORITIES).alias("payment_method"),
+        F.col("priority").alias("payment_method"),
         F.when(k % 13 == 0, None)
         .when(k % 97 == 0, F.round(F.col("spent") * 50, 2))
         .otherwise(F.round("spent", 2))

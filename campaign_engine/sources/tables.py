@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -53,13 +51,10 @@ def write_results(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def _exists(spark: SparkSession, path: str, fmt: str) -> bool:
-    """Whether a finished table can be opened at the path (metadata only)."""
-    try:
-        spark.read.format(fmt).load(path).schema
-    except (AnalysisException, Py4JJavaError):
-        return False
-    return True
+def _finished(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing a table there; errors of the store are raised, not taken for absence."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder.suffix("/_SUCCESS"))
 
 
 def ensure_outputs(
@@ -67,8 +62,8 @@ def ensure_outputs(
 ) -> dict[str, str]:
     """Build what is missing: both tables stored - reuse; only the clean one - encode it; else, or with
     ``force``, rebuild from raw. Returns what was done per table."""
-    has_clean = not force and _exists(spark, paths["clean"], "parquet")
-    if has_clean and _exists(spark, paths["encoded"], "csv"):
+    has_clean = not force and _finished(spark, paths["clean"])
+    if has_clean and _finished(spark, paths["encoded"]):
         return {"clean": "reused", "encoded": "reused"}
     if not has_clean:
         cleaning.clean(raw, profile).write.mode("overwrite").parquet(paths["clean"])

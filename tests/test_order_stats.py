@@ -117,3 +117,43 @@ def test_spearman_like_pandas(numbers, limit):
     want = numbers.select("x", "y", "id").toPandas().corr("spearman")
     for r in corr_spearman(numbers, ["x", "y", "id"], 9, limit).collect():
         assert r["rho"] == pytest.approx(want.loc[r["col_a"], r["col_b"]], abs=1e-8)
+
+
+def test_many_hot_groups_take_no_more_jobs(spark):
+    """The jobs of a pass serve all groups: two hundred hot groups need about as many as two."""
+    frame = spark.range(20_000).select((F.col("id") % 200).alias("g"), ((F.col("id") * 7919) % 10_007).cast("double").alias("x"))
+
+    def run(df):
+        context = spark.sparkContext
+        context.setJobGroup("quantiles", "quantiles")
+        got = {r["g"]: r["q"] for r in group_quantiles(df, "x", ["g"], [0.1, 0.5], limit=20).collect()}
+        return got, len(context.statusTracker().getJobIdsForGroup("quantiles"))
+
+    few, jobs_few = run(frame.filter("g < 2"))
+    many, jobs_many = run(frame)
+    exact = {r["g"]: r["q"] for r in group_quantiles(frame, "x", ["g"], [0.1, 0.5]).collect()}
+    assert set(many) == set(exact) and all(many[g] == pytest.approx(exact[g]) for g in exact)
+    assert all(few[g] == pytest.approx(exact[g]) for g in (0, 1))
+    assert jobs_many - jobs_few <= 1.5 * jobs_few
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_nan_scores_are_missing(spark, limit):
+    rows = [(i % 2, float(i % 7)) for i in range(40)]
+    frame = spark.createDataFrame([*rows, (1, float("nan")), (0, None)], "label int, score double")
+    clean = spark.createDataFrame(rows, "label int, score double")
+    assert ranking_metrics(frame, "label", "score", limit).first() == ranking_metrics(clean, "label", "score", limit).first()
+    got = percentile_rank(frame, "score", limit=limit)
+    assert got.filter(F.isnan("score") | F.col("score").isNull()).select("score_percentil").distinct().collect() == [(None,)]
+    assert got.agg(F.max("score_percentil")).first()[0] < 100
+
+
+def test_frequent_scores_are_not_shuffled(spark, monkeypatch):
+    from campaign_engine.operators import shape
+
+    monkeypatch.setattr(shape, "BROADCAST_ROWS", 3)
+    frame = spark.range(5000).select(F.when(F.col("id") % 3 > 0, 0.5).otherwise(F.col("id") / 5000.0).alias("score"))
+    hot = percentile_rank(frame, "score")
+    monkeypatch.setattr(shape, "BROADCAST_ROWS", 100_000)
+    plain = percentile_rank(frame, "score")
+    assert sorted(hot.collect()) == sorted(plain.collect())

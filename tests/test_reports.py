@@ -110,3 +110,33 @@ def test_translation(spark):
     assert localize.translate(df, "t", words, target="fr") is df
     todo = localize.translation_worklist(df, "t", words).collect()
     assert [r["text"] for r in todo] == ["adiós"]
+
+
+def test_sweep_counts_customers_without_a_score(spark):
+    rows = [(s, 1.0) for s in (0.2, 0.34, 0.5, None, float("nan"))]
+    frame = spark.createDataFrame(rows, "conversion_score double, total_spent double")
+    swept = campaign.threshold_sweep(frame, [0.34]).first()
+    kpis = campaign.campaign_kpis(frame, 0.34).first()
+    assert (swept["n_total"], swept["n_target"], swept["coverage"]) == (5, 2, 40.0)
+    assert (kpis["n_total"], kpis["n_target"], kpis["coverage"]) == (5, 2, 40.0)
+    assert kpis["mean_score"] == pytest.approx((0.2 + 0.34 + 0.5) / 3)
+
+
+def test_pivot_covers_all_values_or_refuses(spark):
+    from campaign_engine.operators.aggregate import pivot_metrics
+
+    frame = spark.createDataFrame([("x", "a", 1.0), ("x", "NEW", 3.0)], "i string, c string, v double")
+    assert pivot_metrics(frame, "i", "c", "v").first().asDict() == {"i": "x", "a_mean": 1.0, "a_count": 1, "NEW_mean": 3.0, "NEW_count": 1}
+    with pytest.raises(Exception, match="unlisted value"):
+        pivot_metrics(frame, "i", "c", "v", ["a"]).collect()
+
+
+def test_nan_is_no_outlier_and_inertia_skips_nulls(spark):
+    from campaign_engine.operators.cluster import inertia
+    from campaign_engine.operators.quality import summary_numeric
+
+    frame = spark.createDataFrame([(float(v), "g") for v in range(20)] + [(float("nan"), "g")], "x double, g string")
+    row = summary_numeric(frame, ["x"]).first()
+    assert (row["nulls"], row["outliers"]) == (1, 0)
+    three = spark.createDataFrame([(1.0, "g"), (3.0, "g"), (None, "g")], "x double, g string")
+    assert inertia(three, ["x"], "g").first()["inertia"] == 2.0

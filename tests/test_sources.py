@@ -64,3 +64,28 @@ def test_plans_stay_on_the_jvm_and_push_down(spark, sf_dir):
 
 def test_scores_do_not_depend_on_partitions(spark, sf_dir):
     assert scored(spark, sf_dir).exceptAll(scored(spark, sf_dir).repartition(3)).count() == 0
+
+
+def test_objects_beyond_the_parser_are_an_error(spark, tmp_path):
+    from campaign_engine.sources import side_tables
+
+    key = "es|en|" + "x" * 60_000
+    big = spark.createDataFrame([('{"' + key + '": "y", "es|en|a": "b"}',)], "value string")
+    with pytest.raises(Exception, match="too large"):
+        side_tables.dictionary_rows(big).collect()
+    assert side_tables.dictionary_rows(spark.createDataFrame([("{broken",)], "value string")).count() == 0
+    rows = spark.createDataFrame([("es", "en", "x" * 60_000, "y"), ("es", "en", "a", "b")], "src string, tgt string, text string, translated string")
+    side_tables.write_entries(rows, str(tmp_path / "entries"))
+    assert sorted(side_tables.read_entries(spark, str(tmp_path / "entries")).collect()) == sorted(rows.collect())
+
+
+def test_half_written_tables_are_rebuilt_and_errors_are_raised(spark, tmp_path):
+    from campaign_engine.sources import tables
+
+    path = tmp_path / "clean"
+    spark.range(3).write.parquet(str(path))
+    assert tables._finished(spark, str(path))
+    (path / "_SUCCESS").unlink()
+    assert not tables._finished(spark, str(path)) and not tables._finished(spark, str(tmp_path / "none"))
+    with pytest.raises(Exception):
+        tables._finished(spark, "nosuchstore://x/y")
