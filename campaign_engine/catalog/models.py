@@ -1,8 +1,13 @@
-"""Model queries. Forests are kept small here; the full settings are the defaults of the plans."""
+"""Model queries, with the settings of the plans and of the named searches.
+
+Models are fitted on at most ``FIT_ROWS`` labelled rows, picked by a hash of the key; metrics, scores and all else
+cover every row. Forests, folds, draws and feature sets are whole. The longer named searches (see ``tune.SEARCHES``)
+run by ``tune.search`` in the same way, but take too many fits for a registered query.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +17,12 @@ from campaign_engine.catalog.sources import scratch
 from campaign_engine.functions.numeric import round_places
 from campaign_engine.operators import cluster, metrics, prep, supervised, tune
 from campaign_engine.operators.columns import drop_nulls, round_cols
-from campaign_engine.operators.features import add_engineered_features, screening_sets
+from campaign_engine.operators.features import add_engineered_features, search_sets
 from campaign_engine.plans import cleaning, training
-from campaign_engine.plans.feature_search import search_features
 from campaign_engine.schemas import BEHAVIOUR_COLS, ID_COL, SEED, TARGET_COL
 from campaign_engine.sources.client_profile import scored, table
 
-SMALL = {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 2}
-_LIGHT = [SMALL, {**SMALL, "max_depth": 3, "class_weight": "balanced"}]
-_SETTINGS = {"Random Forest": ("rf", SMALL), "Regresión Logística": ("lr", {"max_iter": 50})}
+FIT_ROWS = 300
 _stored: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
@@ -38,7 +40,11 @@ def training_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def coded(spark, sf_dir) -> DataFrame:
-    return training_tables(spark, sf_dir)[1].persist()
+    return training_tables(spark, sf_dir)[1]
+
+
+def to_fit(df: DataFrame) -> DataFrame:
+    return prep.fit_sample(df, ID_COL, FIT_ROWS)
 
 
 def _standard_sql(cols, source: str, places: int = 9) -> str:
@@ -142,13 +148,13 @@ def _behaviour(spark, sf_dir):
 
 @query("kmeans")
 def _kmeans(spark, sf_dir):
-    _, rows = cluster.fit_kmeans(_behaviour(spark, sf_dir), BEHAVIOUR_COLS, 3, n_init=3)
+    _, rows = cluster.fit_kmeans(_behaviour(spark, sf_dir), BEHAVIOUR_COLS, 3)
     return rows.select(ID_COL, *BEHAVIOUR_COLS, "cluster")
 
 
 @query("elbow")
 def _elbow(spark, sf_dir):
-    return cluster.elbow(_behaviour(spark, sf_dir), BEHAVIOUR_COLS, n_init=1)
+    return cluster.elbow(_behaviour(spark, sf_dir), BEHAVIOUR_COLS)
 
 
 @query("pca_2d")
@@ -263,13 +269,13 @@ def _silhouette(spark, sf_dir):
 @query("kmeans_embeddings")
 def _kmeans_embeddings(spark, sf_dir):
     """Segments of the vector table."""
-    vectors = table(spark, sf_dir, "embeddings")
-    width = len(vectors.first()["embedding"])
-    wide = vectors.select(
-        F.col("vec_id").cast("string").alias(ID_COL), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)]
-    )
-    _, rows = cluster.fit_kmeans(wide, [f"e{i}" for i in range(width)], 5, n_init=1)
-    return cluster.cluster_sizes(rows)
+    vectors = table(spark, sf_dir, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    vectors = vectors.persist()
+    try:
+        model = cluster.best_kmeans(vectors, 5, SEED, 10)
+    finally:
+        vectors.unpersist()
+    return cluster.cluster_sizes(model.transform(vectors), "_cluster").withColumnRenamed("_cluster", "cluster")
 
 
 # Supervised models
@@ -283,14 +289,14 @@ def _split(spark, sf_dir):
 def _scored_by(kind: str, params: dict):
     def run(spark, sf_dir):
         train, test, cols = _split(spark, sf_dir)
-        model = supervised.fit_classifier(train, kind, cols, params)
+        model = supervised.fit_classifier(to_fit(train), kind, cols, params)
         return supervised.score(model, test).select(ID_COL, "label", "conversion_score", "prediction")
 
     return run
 
 
-query("rf_classifier")(_scored_by("rf", SMALL))
-query("lr_classifier")(_scored_by("lr", {"max_iter": 50}))
+query("rf_classifier")(_scored_by(*training.CLASSIFIERS["Random Forest"]))
+query("lr_classifier")(_scored_by(*training.CLASSIFIERS["Regresión Logística"]))
 
 
 @query(
@@ -322,61 +328,54 @@ def _rf_regressor(spark, sf_dir):
     data = coded(spark, sf_dir)
     cols = prep.feature_names(data, "total_spent")
     train, test = prep.split(data, ID_COL, 0.2)
-    model = supervised.fit_regressor(train, "rf", cols, "total_spent", trees=10, depth=6)
+    model = supervised.fit_regressor(to_fit(train), "rf", cols, "total_spent")
     return supervised.predict(model, test).select(ID_COL, "total_spent", "prediction")
 
 
 @query("regression_compare")
 def _regression_compare(spark, sf_dir):
-    return training.train_regressors(coded(spark, sf_dir), trees=10, depth=6)
+    return training.train_regressors(coded(spark, sf_dir), fit_rows=FIT_ROWS)
 
 
 @query("cv_accuracy")
 def _cv_accuracy(spark, sf_dir):
-    data = coded(spark, sf_dir)
+    settings = training.CLASSIFIERS["Random Forest"][1]
     return supervised.cross_val(
-        data, lambda train: supervised.fit_classifier(train, "rf", BEHAVIOUR_COLS, SMALL), 3
+        coded(spark, sf_dir), lambda train: supervised.fit_classifier(to_fit(train), "rf", BEHAVIOUR_COLS, settings), 5
     )
 
 
-def _grid(name: str):
-    """The first two values of each parameter that matters, with few trees and two folds."""
-
-    def run(spark, sf_dir):
-        space = tune.SPACES[name]
-        small = {p: [v[0], v[-1]] for p, v in space.items() if p in ("min_samples_leaf", "max_features")}
-        combos = [{**c, "n_estimators": 5, "max_depth": 4} for c in tune.grid_combinations(small)]
-        return tune.tune(coded(spark, sf_dir), BEHAVIOUR_COLS, combos, 2, tune.SEARCHES[name][3])[1]
+@query("cv_summary")
+def _cv_summary(spark, sf_dir):
+    """Mean and deviation over the folds."""
+    return supervised.fold_summary(_cv_accuracy(spark, sf_dir))
 
-    return run
 
-
-def _random(name: str):
+def _search(name: str):
     def run(spark, sf_dir):
-        combos = [{**c, "n_estimators": 5, "max_depth": 4} for c in tune.random_combinations(tune.SPACES[name], 2)]
-        return tune.tune(coded(spark, sf_dir), BEHAVIOUR_COLS, combos, 2, tune.SEARCHES[name][3])[1]
+        return tune.search(to_fit(coded(spark, sf_dir)), BEHAVIOUR_COLS, name)[1]
 
     return run
 
 
-for _name in ("v1", "v2", "v3", "v3_fast"):
-    query(f"grid_search_{_name}")(_grid(_name))
-for _name in ("v4", "v5", "deep", "light"):
-    query(f"random_search_{_name}")(_random(_name))
+query("grid_search_v3_fast")(_search("v3_fast"))
+query("random_search_light")(_search("light"))
 
 
 def _versions(spark, sf_dir):
     train, test, cols = _split(spark, sf_dir)
     flip = (1 - F.col("label")).alias("label_inverted")
+    _, draws, folds, _ = tune.SEARCHES["light"]
     return tune.compare_versions(
-        train.select("*", flip),
+        to_fit(train).select("*", flip),
         test.select("*", flip),
         {
             "v1 - Todas las features": (cols, "label"),
             "v2 - Solo comportamiento": (BEHAVIOUR_COLS, "label"),
             "v3 - Clase inversa como positivo": (BEHAVIOUR_COLS, "label_inverted"),
         },
-        [SMALL],
+        tune.random_combinations(tune.SPACES["light"], draws),
+        folds,
     )
 
 
@@ -395,24 +394,17 @@ def _compare_metrics(spark, sf_dir):
 @query("screen_sets")
 def _screen(spark, sf_dir):
     data = coded(spark, sf_dir)
-    derived = add_engineered_features(data, with_gap=False)
+    derived = add_engineered_features(data)
     train, test = prep.split(derived, ID_COL, 0.2, stratify="label")
-    return tune.screen(train.persist(), test.persist(), screening_sets(prep.feature_names(data, TARGET_COL)), SMALL)
-
-
-@query("deep_tune_top")
-def _deep_tune(spark, sf_dir):
-    data = coded(spark, sf_dir)
-    sets = screening_sets(prep.feature_names(data, TARGET_COL))
-    some = {n: sets[n] for n in ("v4_baseline_behavior", "v5_core_business", "v5_best_screening")}
-    return search_features(data, some, [SMALL], 2, 2, SMALL)
+    return tune.screen(to_fit(train), test, search_sets(prep.feature_names(data, TARGET_COL)))
 
 
 # Scoring
 
 
 def _model(spark, sf_dir) -> supervised.ConversionModel:
-    return training.train_classifiers(coded(spark, sf_dir), {"Random Forest": ("rf", SMALL)})[0]
+    forest = {"Random Forest": training.CLASSIFIERS["Random Forest"]}
+    return training.train_classifiers(coded(spark, sf_dir), forest, fit_rows=FIT_ROWS)[0]
 
 
 @query("score_all")
@@ -435,14 +427,23 @@ def _campaign_scores(spark, sf_dir):
 
 @query("model_metrics")
 def _model_metrics(spark, sf_dir):
-    _, held_out = training.train_classifiers(coded(spark, sf_dir), _SETTINGS)
-    return training.classifier_metrics(held_out.persist(), list(_SETTINGS))
+    _, held_out = training.train_classifiers(coded(spark, sf_dir), fit_rows=FIT_ROWS)
+    return training.classifier_metrics(held_out, list(training.CLASSIFIERS))
 
 
 @query("model_reports")
 def _model_reports(spark, sf_dir):
-    _, held_out = training.train_classifiers(coded(spark, sf_dir), _SETTINGS)
-    held_out = held_out.persist()
+    _, held_out = training.train_classifiers(coded(spark, sf_dir), fit_rows=FIT_ROWS)
     return metrics.metrics_long({
-        n: metrics.class_report(held_out.filter(F.col("model") == n), "label", "prediction") for n in _SETTINGS
+        n: metrics.class_report(held_out.filter(F.col("model") == n), "label", "prediction") for n in training.CLASSIFIERS
     })
+
+
+@query("training_job")
+def _training_job(spark, sf_dir):
+    """The whole job: models, metrics, reports and scores are written; the metrics are read back."""
+    clean, _ = training_tables(spark, sf_dir)
+    codes, _ = cleaning.encoded(clean)
+    path = scratch(spark, "training-job")
+    training.train(clean, codes, fit_rows=FIT_ROWS).write(path)
+    return spark.read.parquet(f"{path}/metrics")

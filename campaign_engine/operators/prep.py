@@ -47,6 +47,11 @@ def _piece(cuts: Mapping, by: str | None, value: Column) -> Column:
     return F.lit(0) if out is None else out
 
 
+def fit_sample(df: DataFrame, key: str, rows: int, seed: int = SEED) -> DataFrame:
+    """At most ``rows`` rows to fit on: those with the smallest hash of the key, planned as a top-k."""
+    return df.orderBy(hash_number(F.col(key), seed), key).limit(rows)
+
+
 def with_split(
     df: DataFrame,
     key: str,

@@ -7,12 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import percentile_rank
 from campaign_engine.operators.columns import select_existing
-from campaign_engine.operators.prep import feature_defaults, feature_names, split, with_split
+from campaign_engine.operators.prep import feature_defaults, feature_names, fit_sample, split, with_split
 from campaign_engine.operators.shape import overlay, stack_tagged
 from campaign_engine.operators.supervised import (
     ConversionModel,
@@ -51,12 +50,13 @@ class Training:
 
 
 def train_classifiers(
-    data: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED
+    data: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED, fit_rows: int | None = None
 ) -> tuple[ConversionModel, DataFrame]:
     """(the forest with its feature defaults, (model, client_id, label, conversion_score, prediction) of the test part)."""
     cols = feature_names(data, TARGET_COL)
     train, test = split(data, ID_COL, 0.2, seed, "label")
     parts, forest_model = {}, None
+    train = train if fit_rows is None else fit_sample(train, ID_COL, fit_rows)
 
     def fit(kind: str, params: dict):
         return lambda: fit_classifier(train, kind, cols, params, seed=seed)
@@ -82,11 +82,13 @@ def classifier_metrics(held_out: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def train_regressors(
-    data: DataFrame, target: str = "total_spent", trees: int = 120, depth: int = 30, seed: int = SEED
+    data: DataFrame, target: str = "total_spent", trees: int = 120, depth: int = 30, seed: int = SEED,
+    fit_rows: int | None = None,
 ) -> DataFrame:
     """(model, rmse, r2), best first. Columns computed from the target are not features."""
     cols = feature_names(data, target)
     train, test = split(data, ID_COL, 0.2, seed)
+    train = train if fit_rows is None else fit_sample(train, ID_COL, fit_rows)
     results = {
         name: metrics.regression_metrics(
             predict(fit_regressor(train, kind, cols, target, trees, seed, depth), test), target, "prediction"
@@ -105,10 +107,11 @@ def campaign_scores(model: ConversionModel, coded: DataFrame, clean: DataFrame,
     return percentile_rank(readable)
 
 
-def train(clean: DataFrame, coded: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED) -> Training:
-    """The whole job. The labelled table is kept while models are fitted."""
-    data = labelled(coded, clean).persist(StorageLevel.MEMORY_AND_DISK)
-    model, held_out = train_classifiers(data, settings, seed)
+def train(clean: DataFrame, coded: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED,
+          fit_rows: int | None = None) -> Training:
+    """The whole job, on all labelled rows or on ``fit_rows`` of them."""
+    data = labelled(coded, clean)
+    model, held_out = train_classifiers(data, settings, seed, fit_rows)
     reports = stack_tagged(
         {n: metrics.class_report(held_out.filter(F.col("model") == n), "label", "prediction") for n in settings}, "model"
     )
