@@ -26,7 +26,7 @@ from campaign_engine.llm.shared import lookup, stored
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}+"
 HEX = r"[0-9a-f]{32,}+"
-BARE = r"[A-Za-z0-9+/_-]{20,}+"
+BARE = r"(?=[A-Za-z0-9+/_-]{20})(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}+"
 KINDS = ("assign", "access", "hex", "bare")
 _PART = 128
 
@@ -82,7 +82,7 @@ def base_spans(text: Column) -> Column:
 
 def bare_spans(text: Column, base: Column) -> Column:
     """Further candidates that touch none of ``base``."""
-    found = F.filter(_matches(F.coalesce(text, F.lit("")), BARE, 3), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    found = _matches(F.coalesce(text, F.lit("")), BARE, 3)
     return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
 
