@@ -152,3 +152,23 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert not any(s for t in rows[4].values() for s in brute.base_spans(t))
     packed = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r["doc_id"] for r in packed} == set(rows[4])
+
+
+def test_pipeline_stages_take_odd_rows(spark, sf_dir):
+    rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", None, 0), (3, "token=abcdefgh12 é", None, "a", 18),
+            (3, "token=abcdefgh12 é", None, "a", 18), (4, "word " * 20_000, "en", "b", 100_000), (5, "a b c d e f g", "en", "b", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("label", "score", "found", "_found", "base", "examples", "id", "node", "length"):
+        docs = docs.withColumn(name, F.lit("kept"))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), docs.schema)
+        assert docs.columns == columns
+    kept = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(kept) == {None, 1, 2, 3, 4, 5} and docs.count() == 6
+    assert kept[3] == "token=[SECRET] é" and kept[4] == "word " * 20_000
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert {r["doc_id"] for r in packed.collect()} == set(kept)
+    nothing = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, sf_dir).count() == 0
