@@ -36,7 +36,7 @@ def _fractions(parts: int, first: int = 0) -> str:
 
 @dataclass
 class _Ask:
-    """One wanted rank of the values selected by ``member``; the answer lies strictly in (low, high).
+    """One wanted rank of the values selected by ``member``; the answer lies strictly in (low, high), None: open end.
 
     ``source`` names the values, so that asks about the same ones share their aggregates.
     """
@@ -46,15 +46,14 @@ class _Ask:
     member: Column
     rank: int
     inside: int
-    low: float = -math.inf
-    high: float = math.inf
+    low: float | None = None
+    high: float | None = None
     below: int = 0
-    closed: bool = True
     answer: float | None = None
 
     @property
     def key(self) -> tuple:
-        return (self.source, self.low, self.high, self.closed)
+        return (self.source, self.low, self.high)
 
     def around(self) -> tuple[float, float]:
         """Two fractions that surely enclose the rank; neighbouring ranks get the same ones."""
@@ -64,8 +63,10 @@ class _Ask:
     def scope(self) -> Column:
         """The values that may still be the answer, null elsewhere."""
         keep = self.member
-        if not self.closed:
-            keep = keep & (self.value > self.low) & (self.value < self.high)
+        if self.low is not None:
+            keep = keep & (self.value > self.low)
+        if self.high is not None:
+            keep = keep & (self.value < self.high)
         return F.when(keep, self.value)
 
 
@@ -118,7 +119,6 @@ def _narrow(df: DataFrame, asks: list[_Ask]) -> None:
         else:
             gone = n_less + n_low + n_mid + n_high
             a.low, a.below, a.inside = high, a.below + gone, a.inside - gone
-        a.closed = False
 
 
 def _resolve(df: DataFrame, asks: list[_Ask], limit: int) -> None:
@@ -143,7 +143,9 @@ def _resolve(df: DataFrame, asks: list[_Ask], limit: int) -> None:
 
 def _interpolated(asks: dict[int, _Ask], position: float) -> float:
     low, high = asks[math.floor(position)].answer, asks[math.ceil(position)].answer
-    return low + (high - low) * (position - math.floor(position))
+    if low == high:  # infinite ones have no difference
+        return low
+    return (math.ceil(position) - position) * low + (position - math.floor(position)) * high
 
 
 def column_quantiles(
@@ -187,6 +189,9 @@ def approximate_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     return {c: None if row[c] is None else list(row[c]) for c in cols}
 
 
+_INSIDE = "(low IS NULL OR v > low) AND (high IS NULL OR v < high)"  # infinite values lie inside an open end
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_GROUPS else df
 
@@ -195,7 +200,7 @@ def _narrow_groups(values: DataFrame, asks: DataFrame, n_asks: int) -> DataFrame
     """One narrowing step for all open asks (group, rank) at once: the same jobs for any number of groups."""
     open_asks = _small(asks.filter("answer IS NULL"), n_asks)
     keys = ["_g", "rank", "low", "high", "below", "inside"]
-    scoped = values.join(open_asks.select(*keys), "_g").filter("v > low AND v < high")
+    scoped = values.join(open_asks.select(*keys), "_g").filter(_INSIDE)
     fractions = F.expr(_fractions(GROUP_CUTS))
     at = (F.col("rank") - F.col("below")) / F.greatest(F.col("inside") - 1, F.lit(1)) * GROUP_CUTS
     sketches = scoped.groupBy(*keys).agg(F.percentile_approx("v", fractions, SKETCH).alias("q")).select(
@@ -203,7 +208,7 @@ def _narrow_groups(values: DataFrame, asks: DataFrame, n_asks: int) -> DataFrame
         F.get("q", F.greatest(F.floor(at - 0.5), F.lit(0)).cast("int")).alias("a"),
         F.get("q", F.least(F.ceil(at + 0.5), F.lit(GROUP_CUTS)).cast("int")).alias("b"),
     ).checkpoint()
-    counted = values.join(_small(sketches, n_asks), "_g").filter("v > low AND v < high").groupBy(*keys, "a", "b").agg(
+    counted = values.join(_small(sketches, n_asks), "_g").filter(_INSIDE).groupBy(*keys, "a", "b").agg(
         F.count_if(F.expr("v < a")).alias("n_less"), F.count_if(F.expr("v = a")).alias("n_a"),
         F.count_if(F.expr("v > a AND v < b")).alias("n_mid"), F.count_if(F.expr("v = b AND a < b")).alias("n_b"),
     )
@@ -246,7 +251,7 @@ def group_quantiles(
     places = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in places for f in (F.floor, F.ceil)]))
     asks = hot.select(
-        "_g", F.explode(ranks).alias("rank"), F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high"),
+        "_g", F.explode(ranks).alias("rank"), *[F.lit(None).cast("double").alias(end) for end in ("low", "high")],
         F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), F.lit(None).cast("double").alias("answer"),
     ).checkpoint()
     n_asks = n_hot * 2 * len(probs)
@@ -254,7 +259,7 @@ def group_quantiles(
     values = keyed.join(_small(hot.select("_g"), n_hot), "_g", "left_semi")
     while not asks.filter((F.col("inside") > limit) & F.col("answer").isNull()).isEmpty():
         asks = _narrow_groups(values, asks, n_asks)
-    rest = values.join(_small(asks.filter("answer IS NULL"), n_asks), "_g").filter("v > low AND v < high")
+    rest = values.join(_small(asks.filter("answer IS NULL"), n_asks), "_g").filter(_INSIDE)
     last = rest.groupBy("_g", "rank", "below").agg(F.sort_array(F.collect_list("v")).alias("s")).select(
         "_g", "rank", F.get("s", (F.col("rank") - F.col("below")).cast("int")).alias("answer")
     )
@@ -263,7 +268,8 @@ def group_quantiles(
 
     def between(place: Column) -> Column:
         low, high = (F.element_at("m", f(place).cast("long")) for f in (F.floor, F.ceil))
-        return low + (high - low) * (place - F.floor(place))
+        mixed = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
+        return F.when(low == high, low).otherwise(mixed)
 
     exact = hot.join(found, "_g").select(*by, F.array(*[between(x) for x in places]).alias("q"))
     cold = df.withColumn("_g", group).join(_small(hot.select("_g"), n_hot), "_g", "left_anti")

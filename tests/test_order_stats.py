@@ -53,6 +53,20 @@ def test_hot_groups_are_narrowed(numbers):
     assert small == narrowed and len(small) == 3
 
 
+@pytest.mark.parametrize("limit", [500, 20, 1])
+def test_infinite_values_of_hot_groups_count(spark, limit):
+    """Group 0 has 200 values of -Infinity, group 1 has 400 of +Infinity, group 2 has both; each has 600 values."""
+    k, g = F.floor(F.col("id") / 3), F.col("id") % 3
+    x = F.when((g != 1) & (k < 200), -math.inf).when((g == 1) & (k < 400), math.inf).when((g == 2) & (k >= 400), math.inf)
+    frame = spark.range(1800).select(g.alias("g"), x.otherwise((k * 7919 % 1009).cast("double")).alias("x"))
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    exact = {r["g"]: r["q"] for r in group_quantiles(frame, "x", ["g"], probs).collect()}
+    assert {r["g"]: r["q"] for r in group_quantiles(frame, "x", ["g"], probs, limit=limit).collect()} == exact
+    assert exact[0][1] == -math.inf and exact[1][2] == math.inf and math.isfinite(exact[2][2])
+    for group, want in exact.items():
+        assert column_quantiles(frame.filter(F.col("g") == group), ["x"], probs, limit=limit)["x"] == want
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 50])
 def test_cuts_split_exactly(numbers, limit):
     h = hash_number(F.col("id"), 1)
