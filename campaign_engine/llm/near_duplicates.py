@@ -14,6 +14,8 @@ Texts are lower-cased (A-Z) and split at ASCII white space; a document's set hol
 
 Null and empty texts have no shingles and no links. Rows without an id link like others, but their id never names a
 component; a component without any id has the null id. Rows that repeat id and text get the same result.
+``deduplicated`` keeps one row of each component: the one of the smallest id (rows without an id come last), and of the
+smallest text hash where that id has several texts of the component. An id may so keep several texts that aren't linked.
 """
 
 from __future__ import annotations
@@ -210,14 +212,16 @@ def _across(size: int, words: int, percent: int):
     return compare
 
 
-def groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
-    bands: int = BANDS, rows: int = ROWS,
+def _print(text_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) for each row; kept: the row has its component's id."""
+    """(id, print, shingles, component_id, chosen) for each row; chosen: the row's text is the one its component keeps."""
     ship(docs.sparkSession)
-    fingerprint = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    read = docs.select(F.col(id_col).alias("id"), fingerprint.alias("print"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    read = docs.select(F.col(id_col).alias("id"), _print(text_col).alias("print"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     made = read.select("id", "print", _features(shingle, bands, rows)("text").alias("f")).select("id", "print", "f.*")
     classes = stored(
         made.groupBy("print").agg(
@@ -268,19 +272,35 @@ def groups(
         "label", F.coalesce("label", "node")
     )
     named = stored(named)
-    smallest = stored(named.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n")))
-    result = stored(lookup(named, smallest, "label", "n").select("print", "copies", "shingles", "component_id"))
+    best = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id").alias("id"), F.col("print").alias("text")))
+    smallest = stored(named.groupBy("label").agg(best.alias("best"), F.count("*").alias("n")))
+    result = stored(lookup(named, smallest, "label", "n").select(
+        "print", "copies", "shingles", F.col("best.id").alias("component_id"), (F.col("print") == F.col("best.text")).alias("chosen")
+    ))
     joined = lookup(read.select("id", "print"), result, "print", "copies")
     own = F.when(F.col("shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return joined.select(
-        F.col("id").alias(id_col), F.col("shingles").alias("n_shingles"), own.alias("component_id"),
-        own.eqNullSafe(F.col("id")).alias("kept"),
+    return joined.select("id", "print", "shingles", own.alias("component_id"), (F.col("chosen") | (F.col("shingles") == 0)).alias("chosen"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id_col, n_shingles, component_id, kept) for each row; kept: the row has its component's id."""
+    return _grouped(docs, id_col, text_col, **options).select(
+        F.col("id").alias(id_col), F.col("shingles").alias("n_shingles"), "component_id",
+        F.col("component_id").eqNullSafe(F.col("id")).alias("kept"),
     )
 
 
+def _row_key(row_id: Column, text_print: Column) -> Column:
+    """Id and text hash as one text, which is never null; rows with the same one are the same document."""
+    return F.concat_ws("|", row_id.cast("string"), text_print)
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that name their component, one row for each id (of rows without an id, all)."""
-    gone = groups(docs, id_col, text_col, **options).filter("not kept").select(F.col(id_col).alias("gone_id")).filter("gone_id is not null")
-    left = docs.join(gone.distinct(), docs[id_col] == F.col("gone_id"), "left_anti")
-    some = left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return some.unionByName(left.filter(F.col(id_col).isNull()))
+    """One row of ``docs`` for each component (see above); of rows that repeat id and text, the one with the smallest
+    hash. Texts without shingles have no component: each stays, once for its id."""
+    kept = F.col("chosen") & F.col("component_id").eqNullSafe(F.col("id"))
+    gone = _grouped(docs, id_col, text_col, **options).filter(~kept).select(_row_key(F.col("id"), F.col("print")).alias("key"))
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row")
+    rows = docs.groupBy(_row_key(F.col(id_col), _print(text_col)).alias("key")).agg(one)  # repeats end before the shuffle
+    return rows.join(gone.distinct(), "key", "left_anti").select("row.*")

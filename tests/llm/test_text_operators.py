@@ -116,6 +116,21 @@ def test_near_groups_on_odd_rows(spark):
     assert near_duplicates.groups(frame.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Ids with several texts, and copies without an id: rows are removed, not ids."""
+    x, y, z = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    docs = [(3, x, "a"), (5, x, "a"), (5, y, "a"), (7, z, "a"), (7, "quite another text", "a"), (8, "near " + y, "b"),
+            (9, z + " a", "b"), (9, z + " b", "b")]
+    docs += [(None, "copied without an id", "c")] * 5 + [(None, "copied without an id " * 9, "c"), (None, z, "c")] * 2
+    kept = near_duplicates.deduplicated(spark.createDataFrame(docs, DOCS).repartition(3))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([
+        ("3", x), ("5", y), ("7", z), ("7", "quite another text"), ("None", "copied without an id"),
+        ("None", "copied without an id " * 9)])
+    linked = spark.createDataFrame([(1, y + " a", "a"), (1, y + " b", "a"), (None, x + " a", "a"), (None, x + " b", "a")], DOCS)
+    first, again = (near_duplicates.deduplicated(linked.repartition(n)).collect() for n in (1, 4))
+    assert len(first) == 2 and sorted(map(str, first)) == sorted(map(str, again))
+
+
 def test_blocks_and_hot_keys_lose_no_links(spark, monkeypatch):
     """Tiny blocks and salts: pairs of many blocks must still give the plain groups."""
     monkeypatch.setattr(near_duplicates, "BLOCK", 4)
