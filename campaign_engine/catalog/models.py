@@ -1,7 +1,7 @@
 """Model queries, with the settings of the plans and of the named searches.
 
-Models are fitted on at most ``FIT_ROWS`` labelled rows, picked by a hash of the key; metrics, scores and all else
-cover every row. Forests, folds, draws and feature sets are whole. The longer named searches (see ``tune.SEARCHES``)
+Models are fitted on at most ``FIT_ROWS`` labelled rows, picked by a hash of the key; folds, metrics, scores and all
+else cover every row. Forests, folds, draws and feature sets are whole. The longer named searches (see ``tune.SEARCHES``)
 run by ``tune.search`` in the same way, but take too many fits for a registered query.
 """
 
@@ -353,7 +353,7 @@ def _cv_summary(spark, sf_dir):
 
 def _search(name: str):
     def run(spark, sf_dir):
-        return tune.search(to_fit(coded(spark, sf_dir)), BEHAVIOUR_COLS, name)[1]
+        return tune.search(coded(spark, sf_dir), BEHAVIOUR_COLS, name, fit_rows=FIT_ROWS)[1]
 
     return run
 
@@ -367,7 +367,7 @@ def _versions(spark, sf_dir):
     flip = (1 - F.col("label")).alias("label_inverted")
     _, draws, folds, _ = tune.SEARCHES["light"]
     return tune.compare_versions(
-        to_fit(train).select("*", flip),
+        train.select("*", flip),
         test.select("*", flip),
         {
             "v1 - Todas las features": (cols, "label"),
@@ -376,6 +376,7 @@ def _versions(spark, sf_dir):
         },
         tune.random_combinations(tune.SPACES["light"], draws),
         folds,
+        fit_rows=FIT_ROWS,
     )
 
 

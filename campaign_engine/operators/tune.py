@@ -15,7 +15,7 @@ from pyspark.storagelevel import StorageLevel
 
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import rank_results
-from campaign_engine.operators.prep import assemble, class_weights, with_fold, with_weight
+from campaign_engine.operators.prep import assemble, class_weights, fit_sample, with_fold, with_weight
 from campaign_engine.operators.supervised import Forest, fit_classifier, forest, score
 from campaign_engine.schemas import ID_COL, SEED
 from campaign_engine.session import in_parallel
@@ -154,18 +154,23 @@ def tune(
     label: str = "label",
     seed: int = SEED,
     width: int = 4,
+    fit_rows: int | None = None,
 ) -> tuple[dict, DataFrame]:
     """(best parameters, one row per candidate with the mean and deviation of both metrics over the folds).
 
-    Folds and feature vectors are made once and kept; every fit and its metrics are distributed jobs.
+    Folds and feature vectors are made once and kept; every fit and its metrics are distributed jobs. Folds are made
+    of all rows and every held-out fold is scored whole; ``fit_rows`` bounds only the rows that a fold's forests learn.
     """
     marked = with_fold(df, key, k, seed, label)
-    ready = assemble(marked.select(label, "fold", *cols), cols).select(label, "fold", "features")
+    ready = assemble(marked.select(key, label, "fold", *cols), cols).select(key, label, "fold", "features")
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     candidates = distinct_forests(combos)
-    parts = {}
+    parts, samples = {}, []
     for fold in range(k):  # weights come from the rows that are learnt, not from those held out
         part = ready.filter(F.col("fold") != fold)
+        if fit_rows is not None:  # another hash than that of the folds: a sample comes from all the folds to learn
+            part = fit_sample(part, key, fit_rows, seed + 1).persist(StorageLevel.MEMORY_AND_DISK)
+            samples.append(part)
         parts[fold] = with_weight(part, class_weights(part, label), label)
 
     def one(i: int, spec: Forest, fold: int):
@@ -180,7 +185,8 @@ def tune(
     try:
         rows = in_parallel([one(i, spec, f) for i, (_, spec) in enumerate(candidates) for f in range(k)], width)
     finally:
-        ready.unpersist()
+        for kept in (*samples, ready):
+            kept.unpersist()
     spark = df.sparkSession
     per_fold = spark.createDataFrame(rows, "candidate int, fold int, roc_auc double, avg_precision double")
     named = spark.createDataFrame(
@@ -203,12 +209,12 @@ def tune(
 
 
 def search(df: DataFrame, cols: Sequence[str], name: str, key: str = ID_COL, label: str = "label", seed: int = SEED,
-           width: int = 4) -> tuple[dict, DataFrame]:
+           width: int = 4, fit_rows: int | None = None) -> tuple[dict, DataFrame]:
     """A named search over its full space."""
     mode, draws, folds, refit = SEARCHES[name]
     space = SPACES[name]
     combos = grid_combinations(space) if mode == "grid" else random_combinations(space, draws, seed)
-    return tune(df, cols, combos, folds, refit, key, label, seed, width)
+    return tune(df, cols, combos, folds, refit, key, label, seed, width, fit_rows)
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> dict:
@@ -224,10 +230,13 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> dic
 
 
 def _tuned(train: DataFrame, test: DataFrame, cols: Sequence[str], combos: Sequence[Mapping], k: int, key: str,
-           label: str, seed: int) -> tuple[dict, dict]:
+           label: str, seed: int, fit_rows: int | None = None) -> tuple[dict, dict]:
     """(best parameters, their evaluation on the test table); a single candidate needs no search."""
-    best = dict(combos[0]) if len(combos) == 1 else tune(train, cols, combos, k, key=key, label=label, seed=seed)[0]
-    return best, evaluate(fit_classifier(train, "rf", cols, best, label, seed), test, label)
+    best = dict(combos[0])
+    if len(combos) > 1:
+        best = tune(train, cols, combos, k, key=key, label=label, seed=seed, fit_rows=fit_rows)[0]
+    learnt = train if fit_rows is None else fit_sample(train, key, fit_rows, seed)
+    return best, evaluate(fit_classifier(learnt, "rf", cols, best, label, seed), test, label)
 
 
 def compare_versions(
@@ -238,14 +247,15 @@ def compare_versions(
     k: int = 2,
     key: str = ID_COL,
     seed: int = SEED,
+    fit_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Tune and test each version (name -> columns, label).
+    """Tune and test each version (name -> columns, label); ``fit_rows`` bounds what is learnt, not what is scored.
 
     Returns (version, roc_auc, avg_precision, best_params, tn, fp, fn, tp) and the reports of all versions.
     """
 
     def one(cols: Sequence[str], label: str):
-        return lambda: _tuned(train, test, cols, combos, k, key, label, seed)
+        return lambda: _tuned(train, test, cols, combos, k, key, label, seed, fit_rows)
 
     rows, reports = [], []
     for name, (best, found) in zip(versions, in_parallel([one(*v) for v in versions.values()])):

@@ -96,6 +96,38 @@ def test_tune_picks_by_the_wanted_metric(data):
     assert f"max_depth={best['max_depth']}" in rows[0]["params"]
 
 
+def _seen(monkeypatch):
+    """Numbers of rows that searches fit on and score."""
+    fitted, scored = [], []
+    fit, score = tune._fit, tune.score
+    monkeypatch.setattr(tune, "_fit", lambda df, *a: fitted.append(df.count()) or fit(df, *a))
+    monkeypatch.setattr(tune, "score", lambda m, df, *a: scored.append(df.count()) or score(m, df, *a))
+    return fitted, scored
+
+
+def test_bounded_fits_are_scored_on_whole_folds(spark, data, monkeypatch):
+    fitted, scored = _seen(monkeypatch)
+    combos = [{**SMALL, "max_depth": 1}, SMALL]
+    tune.tune(data, ["a", "b"], combos, 2, fit_rows=50)
+    assert fitted == [50] * 4 and len(scored) == 4 and sum(scored) == 2 * 400
+    scored.clear()
+    train, test = prep.split(data, "client_id", 0.2, stratify="label")
+    tune.compare_versions(train, test, {"v": (["a", "b"], "label")}, combos, fit_rows=50)
+    assert sum(scored) == 2 * 320 + 80
+
+
+def test_registered_searches_score_every_row(spark, data, monkeypatch):
+    from campaign_engine.catalog import models
+
+    fitted, scored = _seen(monkeypatch)
+    monkeypatch.setattr(models, "coded", lambda *_: data)
+    monkeypatch.setattr(models, "BEHAVIOUR_COLS", ["a", "b"])
+    monkeypatch.setattr(models, "FIT_ROWS", 40)
+    monkeypatch.setitem(tune.SPACES, "light", {"n_estimators": [3], "max_depth": [2, 3]})
+    models._search("light")(spark, "")
+    assert fitted == [40] * 4 and sum(scored) == 2 * 400
+
+
 def test_screening_prefers_the_informative_set(data):
     train, test = prep.split(data, "client_id", 0.2, stratify="label")
     ranked = tune.screen(train, test, {"noise": ["noise"], "both": ["a", "b"]}, SMALL).collect()
