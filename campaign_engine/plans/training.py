@@ -82,13 +82,11 @@ def classifier_metrics(held_out: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def train_regressors(
-    data: DataFrame, target: str = "total_spent", trees: int = 120, depth: int = 30, seed: int = SEED,
-    fit_rows: int | None = None,
+    data: DataFrame, target: str = "total_spent", trees: int = 120, depth: int = 30, seed: int = SEED
 ) -> DataFrame:
-    """(model, rmse, r2), best first. Columns computed from the target are not features."""
+    """(model, rmse, r2), best first, fitted on the whole training part. Columns computed from the target are not features."""
     cols = feature_names(data, target)
     train, test = split(data, ID_COL, 0.2, seed)
-    train = train if fit_rows is None else fit_sample(train, ID_COL, fit_rows)
     results = {
         name: metrics.regression_metrics(
             predict(fit_regressor(train, kind, cols, target, trees, seed, depth), test), target, "prediction"
@@ -109,7 +107,7 @@ def campaign_scores(model: ConversionModel, coded: DataFrame, clean: DataFrame,
 
 def train(clean: DataFrame, coded: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED,
           fit_rows: int | None = None) -> Training:
-    """The whole job, on all labelled rows or on ``fit_rows`` of them."""
+    """The whole job; classifiers learn all labelled rows of the training part or ``fit_rows`` of them."""
     data = labelled(coded, clean)
     model, held_out = train_classifiers(data, settings, seed, fit_rows)
     reports = stack_tagged(

@@ -122,7 +122,7 @@ def test_registered_searches_score_every_row(spark, data, monkeypatch):
     fitted, scored = _seen(monkeypatch)
     monkeypatch.setattr(models, "coded", lambda *_: data)
     monkeypatch.setattr(models, "BEHAVIOUR_COLS", ["a", "b"])
-    monkeypatch.setattr(models, "FIT_ROWS", 40)
+    monkeypatch.setattr(models, "SEARCH_ROWS", 40)
     monkeypatch.setitem(tune.SPACES, "light", {"n_estimators": [3], "max_depth": [2, 3]})
     models._search("light")(spark, "")
     assert fitted == [40] * 4 and sum(scored) == 2 * 400
@@ -189,6 +189,26 @@ def test_regressors_leave_out_derived_columns(spark):
     assert len(out) == 2 and all(r["r2"] < 0.9 for r in out)
 
 
+def test_registered_regressors_learn_the_whole_training_part(spark, data, monkeypatch):
+    from campaign_engine.catalog import models
+    from campaign_engine.plans import training
+
+    seen = []
+
+    def fit(df, kind, cols, target, *_):
+        seen.append(df.count())
+        return real(df, kind, cols, target, 2, depth=3)
+
+    real = supervised.fit_regressor
+    monkeypatch.setattr(supervised, "fit_regressor", fit)
+    monkeypatch.setattr(training, "fit_regressor", fit)
+    monkeypatch.setattr(models, "coded", lambda *_: data.withColumn("total_spent", F.col("a")))
+    monkeypatch.setattr(models, "FIT_ROWS", 40)
+    assert models._rf_regressor(spark, "").count() == 80
+    models._regression_compare(spark, "")
+    assert seen == [320] * 3
+
+
 @pytest.fixture(scope="module")
 def model(data):
     fitted = supervised.fit_classifier(data, "rf", ["a", "b", "noise"], SMALL)
