@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from campaign_engine.llm import (
     chat,
+    conversation_repair,
     decontaminate,
     near_duplicates,
     neighbours,
@@ -83,6 +84,12 @@ def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, size=2048, end_id=0)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule, and their cheapest repair."""
+    rows = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.Repair(rows, stays_col="stays").summary()
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -94,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_sum_of_squares_packing": op10_sum_of_squares_packing,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 SQL: dict[str, str] = {
     "op6_snapshot_collapse": """
