@@ -19,6 +19,7 @@ from campaign_engine.llm import (
     token_counts,
     token_files,
     toxicity,
+    whitening,
 )
 from campaign_engine.llm.shared import scratch_path
 
@@ -90,6 +91,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.Repair(rows, stays_col="stays").summary()
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings, whitened along the first eight eigenvectors of their covariance."""
+    return whitening.Whitening(_table(spark, sf_dir, "embeddings"), components=8).whitened()
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_sum_of_squares_packing": op10_sum_of_squares_packing,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 SQL: dict[str, str] = {
     "op6_snapshot_collapse": """
