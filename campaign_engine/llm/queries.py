@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from campaign_engine.llm import (
     chat,
     conversation_repair,
+    cutting_stock,
     decontaminate,
     near_duplicates,
     neighbours,
@@ -25,6 +26,7 @@ from campaign_engine.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -85,6 +87,11 @@ def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, size=2048, end_id=0)
 
 
+def op11_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens, cut where that avoids padding."""
+    return cutting_stock.pack(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, size=1024, end_id=0)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged by a rule, and their cheapest repair."""
     rows = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
@@ -107,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_sum_of_squares_packing": op10_sum_of_squares_packing,
+    "op11_cutting_stock_packing": op11_cutting_stock_packing,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
