@@ -6,13 +6,13 @@ Tables with one class or without rows give null or zero metrics, never an error.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaign_engine.functions.numeric import known, ratio, reaches, round_places
-from campaign_engine.operators.order_stats import EXACT_ROWS, running_totals
+from campaign_engine.operators.order_stats import EXACT_ROWS, running_totals, running_totals_by
 from campaign_engine.operators.shape import stack_tagged
 
 CELLS = ("tn", "fp", "fn", "tp")
@@ -136,6 +136,16 @@ def ranking_metrics(df: DataFrame, label: str, score: str, limit: int = EXACT_RO
     return _cumulative(df, label, score, limit).agg(_auc().alias("roc_auc"), _ap().alias("avg_precision"))
 
 
+def ranking_metrics_by(df: DataFrame, keys: Sequence[str], label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
+    """(keys, roc_auc, avg_precision) of every group at once, from one keyed running total."""
+    y, number = F.col(label) == 1, known(F.col(score).cast("double"))
+    counts = df.filter(number.isNotNull() & F.col(label).isNotNull()).groupBy(*keys, number.alias("score")).agg(
+        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
+    )
+    points = running_totals_by(counts, keys, "score", ["pos", "neg"], True, limit)
+    return points.groupBy(*keys).agg(_auc().alias("roc_auc"), _ap().alias("avg_precision"))
+
+
 def pr_curve(df: DataFrame, label: str, score: str, limit: int = EXACT_ROWS) -> DataFrame:
     """(precision, recall, threshold) per distinct score, with the end point (1, 0)."""
     points = _cumulative(df, label, score, limit).select(

@@ -308,6 +308,42 @@ def group_cuts(
     return out
 
 
+def running_totals_by(
+    df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str], descending: bool = False, limit: int = EXACT_ROWS
+) -> DataFrame:
+    """Running sums within each group of ``keys``, sorted by a number that is distinct there, as ``cum_<column>``, with
+    the group's sum as ``total_<column>``.
+
+    More than ``limit`` rows are cut into the same value ranges for all groups, of about ``limit`` rows together; windows
+    run inside a range of a group, and windows over its ranges add the earlier ones. So no group is sorted in one task.
+    """
+    n = df.count()
+    ranged = df.withColumn("_number", F.col(order).cast("double"))
+    if n > limit:
+        ranges = max(2, -(-2 * n // limit))
+        sketch = f"percentile_approx(CAST(`{order}` AS DOUBLE), {_fractions(ranges, 1)}, {max(SKETCH, 10 * ranges)})"
+        splits = [-math.inf, *sorted(set(df.agg(F.expr(sketch)).first()[0])), math.inf]
+        ranged = Bucketizer(splits=splits, inputCol="_number", outputCol="_range").transform(ranged)
+    else:
+        ranged = ranged.withColumn("_range", F.lit(0.0))
+    turn = F.desc if descending else F.asc
+    inner = Window.partitionBy(*keys, "_range").orderBy(turn("_number")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy(turn("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = ranged.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums]).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_range").alias("_own_range"),
+        *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
+        *[F.sum(f"_sum_{c}").over(whole).alias(f"total_{c}") for c in sums],
+    )
+    match = F.col("_range") == F.col("_own_range")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    placed = ranged.withColumns({f"_in_{c}": F.sum(c).over(inner) for c in sums}).join(offsets, match)
+    return placed.withColumns({f"cum_{c}": F.col(f"_off_{c}") + F.col(f"_in_{c}") for c in sums}).select(
+        *df.columns, *[f"cum_{c}" for c in sums], *[f"total_{c}" for c in sums]
+    )
+
+
 def running_totals(
     df: DataFrame, order: str, sums: Sequence[str], descending: bool = False, limit: int = EXACT_ROWS
 ) -> DataFrame:
