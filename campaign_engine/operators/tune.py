@@ -1,4 +1,7 @@
-"""Parameter search, version comparison and feature-set screening."""
+"""Parameter search, version comparison and feature-set screening.
+
+All forests of a search, over all candidates, folds and feature sets, are jobs on one binned table (``shared_forest``).
+"""
 
 from __future__ import annotations
 
@@ -7,18 +10,16 @@ from collections.abc import Mapping, Sequence
 from itertools import product
 from math import prod
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import rank_results
-from campaign_engine.operators.prep import assemble, class_weights, fit_sample, with_fold, with_weight
-from campaign_engine.operators.supervised import Forest, fit_classifier, forest, score
+from campaign_engine.operators.prep import with_fold
+from campaign_engine.operators.shared_forest import Binned, Job, held_out_scores
+from campaign_engine.operators.tree_growth import growth_of
 from campaign_engine.schemas import ID_COL, SEED
-from campaign_engine.session import in_parallel
 
 # The named search spaces.
 _WIDE = {
@@ -128,20 +129,47 @@ def random_combinations(space: Mapping[str, Sequence], n: int, seed: int = SEED)
     return out
 
 
-def distinct_forests(combos: Sequence[Mapping]) -> list[tuple[dict, Forest]]:
-    """Combinations that differ in Spark's parameters; those that differ only in ignored ones run once."""
-    seen: dict[tuple, tuple[dict, Forest]] = {}
-    for combo in combos:
-        spec = forest(combo)
-        seen.setdefault(spec.key(), (dict(combo), spec))
-    return list(seen.values())
+def _text(params: Mapping) -> str:
+    return ", ".join(f"{n}={v}" for n, v in params.items())
+
+
+def _job(data: Binned, cols: Sequence[str], params: Mapping, folds: Sequence[int]) -> Job:
+    growth, cut, trees = growth_of(dict(params), [data.cols.index(c) for c in cols])
+    return Job(growth, cut, trees, tuple(folds))
+
+
+def _measured(data: Binned, jobs: Sequence[Job], seed: int) -> list[dict[int, tuple[float | None, float | None]]]:
+    """(roc_auc, avg_precision) of each fold of each job, all from one keyed running total."""
+    first = {job: i for i, job in reversed(list(enumerate(jobs)))}
+    scores = held_out_scores(data, jobs, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = metrics.ranking_metrics_by(scores, ["job", "fold"], "y", "score").collect()  # a row for each job and fold
+    finally:
+        scores.unpersist()
+    by_job: dict[int, dict[int, tuple[float | None, float | None]]] = {}
+    for r in found:
+        by_job.setdefault(r["job"], {})[r["fold"]] = r["roc_auc"], r["avg_precision"]
+    return [by_job.get(first[job], {}) for job in jobs]
+
+
+def _mean(values: Sequence[float | None]) -> tuple[float | None, float | None]:
+    """Mean and population deviation of the known values."""
+    known = [v for v in values if v is not None]
+    if not known:
+        return None, None
+    mean = sum(known) / len(known)
+    return mean, (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5
+
+
+def _candidates(combos: Sequence[Mapping], measured: Sequence[Mapping]) -> list[tuple]:
+    """(candidate, params, mean and deviation of both metrics over the folds) of each combination."""
+    return [
+        (i, _text(combo), *_mean([auc for auc, _ in folds.values()]), *_mean([ap for _, ap in folds.values()]))
+        for i, (combo, folds) in enumerate(zip(combos, measured))
+    ]
 
 
-def _fit(df: DataFrame, spec: Forest, label: str, seed: int):
-    model = RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed, **spec.settings)
-    if spec.weighted:
-        model.setWeightCol("weight")
-    return model.fit(df)
+_CANDIDATES = ("candidate int, params string, roc_auc double, roc_auc_std double, avg_precision double, avg_precision_std double")
 
 
 def tune(
@@ -153,73 +181,39 @@ def tune(
     key: str = ID_COL,
     label: str = "label",
     seed: int = SEED,
-    width: int = 4,
-    fit_rows: int | None = None,
 ) -> tuple[dict, DataFrame]:
     """(best parameters, one row per candidate with the mean and deviation of both metrics over the folds).
 
-    Folds and feature vectors are made once and kept; every fit and its metrics are distributed jobs. Folds are made
-    of all rows and every held-out fold is scored whole; ``fit_rows`` bounds only the rows that a fold's forests learn.
+    Folds are made of all rows, each candidate learns all rows of the other folds, and every row is scored once.
     """
-    marked = with_fold(df, key, k, seed, label)
-    ready = assemble(marked.select(key, label, "fold", *cols), cols).select(key, label, "fold", "features")
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    candidates = distinct_forests(combos)
-    parts, samples = {}, []
-    for fold in range(k):  # weights come from the rows that are learnt, not from those held out
-        part = ready.filter(F.col("fold") != fold)
-        if fit_rows is not None:  # another hash than that of the folds: a sample comes from all the folds to learn
-            part = fit_sample(part, key, fit_rows, seed + 1).persist(StorageLevel.MEMORY_AND_DISK)
-            samples.append(part)
-        parts[fold] = with_weight(part, class_weights(part, label), label)
-
-    def one(i: int, spec: Forest, fold: int):
-        def run() -> tuple[int, int, float | None, float | None]:
-            model = _fit(parts[fold], spec, label, seed)
-            held = score(model, ready.filter(F.col("fold") == fold))
-            row = metrics.ranking_metrics(held, label, "conversion_score").first()
-            return i, fold, row["roc_auc"], row["avg_precision"]
-
-        return run
-
+    data = Binned(with_fold(df, key, k, seed, label).select(key, label, "fold", *cols), cols, key, label, "fold")
     try:
-        rows = in_parallel([one(i, spec, f) for i, (_, spec) in enumerate(candidates) for f in range(k)], width)
+        measured = _measured(data, [_job(data, cols, c, range(k)) for c in combos], seed)
     finally:
-        for kept in (*samples, ready):
-            kept.unpersist()
-    spark = df.sparkSession
-    per_fold = spark.createDataFrame(rows, "candidate int, fold int, roc_auc double, avg_precision double")
-    named = spark.createDataFrame(
-        [
-            (i, ", ".join(f"{n}={v}" for n, v in combo.items()), ", ".join(f"{n}={v}" for n, v in spec.ignored.items()))
-            for i, (combo, spec) in enumerate(candidates)
-        ],
-        "candidate int, params string, ignored string",
-    )
-    means = per_fold.groupBy("candidate").agg(
-        F.avg("roc_auc").alias("roc_auc"),
-        F.stddev_pop("roc_auc").alias("roc_auc_std"),
-        F.avg("avg_precision").alias("avg_precision"),
-        F.stddev_pop("avg_precision").alias("avg_precision_std"),
-    )
+        data.unpersist()
     other = "avg_precision" if refit == "roc_auc" else "roc_auc"
-    results = rank_results(named.join(means, "candidate"), [refit, other], name="candidate")
-    best = results.first()
-    return candidates[best["candidate"]][0], results
+    frame = df.sparkSession.createDataFrame(_candidates(combos, measured), _CANDIDATES)
+    results = rank_results(frame, [refit, other], name="candidate")
+    return dict(combos[results.first()["candidate"]]), results
 
 
-def search(df: DataFrame, cols: Sequence[str], name: str, key: str = ID_COL, label: str = "label", seed: int = SEED,
-           width: int = 4, fit_rows: int | None = None) -> tuple[dict, DataFrame]:
+def search(df: DataFrame, cols: Sequence[str], name: str, key: str = ID_COL, label: str = "label", seed: int = SEED) -> tuple[dict, DataFrame]:
     """A named search over its full space."""
     mode, draws, folds, refit = SEARCHES[name]
     space = SPACES[name]
     combos = grid_combinations(space) if mode == "grid" else random_combinations(space, draws, seed)
-    return tune(df, cols, combos, folds, refit, key, label, seed, width, fit_rows)
+    return tune(df, cols, combos, folds, refit, key, label, seed)
+
 
+def _parts(train: DataFrame, test: DataFrame, cols: Sequence[str], key: str, label: str) -> Binned:
+    """Both parts in one table: fold 0 is the test part, and what is learnt is fold 1."""
+    mark = lambda df, fold: df.select(key, label, *cols, F.lit(fold).alias("fold"))
+    return Binned(mark(train, 1).unionByName(mark(test, 0)), cols, key, label, "fold")
 
-def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> dict:
-    """Ranking metrics, confusion cells and report of a model on a test table."""
-    scored = score(model, test).select(label, "conversion_score", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+
+def evaluate(scored: DataFrame, label: str = "y") -> dict:
+    """Ranking metrics, confusion cells and report of (label, conversion_score, prediction)."""
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         row = metrics.ranking_metrics(scored, label, "conversion_score").first()
         cells = metrics.confusion(scored, label, "prediction").first()
@@ -229,16 +223,6 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> dic
     return {"roc_auc": row["roc_auc"], "avg_precision": row["avg_precision"], **cells.asDict(), "report": report}
 
 
-def _tuned(train: DataFrame, test: DataFrame, cols: Sequence[str], combos: Sequence[Mapping], k: int, key: str,
-           label: str, seed: int, fit_rows: int | None = None) -> tuple[dict, dict]:
-    """(best parameters, their evaluation on the test table); a single candidate needs no search."""
-    best = dict(combos[0])
-    if len(combos) > 1:
-        best = tune(train, cols, combos, k, key=key, label=label, seed=seed, fit_rows=fit_rows)[0]
-    learnt = train if fit_rows is None else fit_sample(train, key, fit_rows, seed)
-    return best, evaluate(fit_classifier(learnt, "rf", cols, best, label, seed), test, label)
-
-
 def compare_versions(
     train: DataFrame,
     test: DataFrame,
@@ -247,20 +231,23 @@ def compare_versions(
     k: int = 2,
     key: str = ID_COL,
     seed: int = SEED,
-    fit_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Tune and test each version (name -> columns, label); ``fit_rows`` bounds what is learnt, not what is scored.
+    """Tune each version (name -> columns, label) on the training part and test its best candidate.
 
     Returns (version, roc_auc, avg_precision, best_params, tn, fp, fn, tp) and the reports of all versions.
     """
-
-    def one(cols: Sequence[str], label: str):
-        return lambda: _tuned(train, test, cols, combos, k, key, label, seed, fit_rows)
-
     rows, reports = [], []
-    for name, (best, found) in zip(versions, in_parallel([one(*v) for v in versions.values()])):
-        text = ", ".join(f"{n}={v}" for n, v in best.items())
-        rows.append((name, found["roc_auc"], found["avg_precision"], text, *[found[c] for c in metrics.CELLS]))
+    for name, (cols, label) in versions.items():
+        best = dict(combos[0]) if len(combos) == 1 else tune(train, cols, combos, k, key=key, label=label, seed=seed)[0]
+        data = _parts(train, test, cols, key, label)
+        try:
+            scored = held_out_scores(data, [_job(data, cols, best, [0])], seed).select(
+                "y", F.col("score").alias("conversion_score"), (F.col("score") > 0.5).cast("int").alias("prediction")
+            )
+            found = evaluate(scored)
+        finally:
+            data.unpersist()
+        rows.append((name, found["roc_auc"], found["avg_precision"], _text(best), *[found[c] for c in metrics.CELLS]))
         reports += [(name, *r) for r in found["report"]]
     spark = train.sparkSession
     table = spark.createDataFrame(
@@ -273,33 +260,28 @@ def compare_versions(
     return table, detail
 
 
+def _all_columns(sets: Mapping[str, Sequence[str]]) -> list[str]:
+    return list(dict.fromkeys(c for cols in sets.values() for c in cols))
+
+
 def screen(
     train: DataFrame,
     test: DataFrame,
     sets: Mapping[str, Sequence[str]],
     params: Mapping | None = None,
+    key: str = ID_COL,
     label: str = "label",
     seed: int = SEED,
-    width: int = 4,
 ) -> DataFrame:
-    """(feature_set, n_features, roc_auc, avg_precision) of one fixed forest per set; keep both tables persisted."""
-    weighted = with_weight(train, class_weights(train, label), label)
-    spec = forest(SCREEN_FOREST if params is None else params)
-
-    def one(name: str, cols: Sequence[str]):
-        def run() -> tuple[str, int, float | None, float | None]:
-            fitted = _fit(assemble(weighted.select(label, "weight", *cols), cols), spec, label, seed)
-            held = score(fitted, assemble(test.select(label, *cols), cols))
-            row = metrics.ranking_metrics(held, label, "conversion_score").first()
-            return name, len(cols), row["roc_auc"], row["avg_precision"]
-
-        return run
-
-    rows = in_parallel([one(n, c) for n, c in sets.items()], width)
-    frame = train.sparkSession.createDataFrame(
-        rows, "feature_set string, n_features int, roc_auc double, avg_precision double"
-    )
-    return rank_results(frame)
+    """(feature_set, n_features, roc_auc, avg_precision) of one fixed forest per set, a mask over the columns of all."""
+    data = _parts(train, test, _all_columns(sets), key, label)
+    try:
+        jobs = [_job(data, cols, SCREEN_FOREST if params is None else params, [0]) for cols in sets.values()]
+        measured = _measured(data, jobs, seed)
+    finally:
+        data.unpersist()
+    rows = [(name, len(cols), *found.get(0, (None, None))) for (name, cols), found in zip(sets.items(), measured)]
+    return rank_results(train.sparkSession.createDataFrame(rows, "feature_set string, n_features int, roc_auc double, avg_precision double"))
 
 
 def deep_tune_top(
@@ -314,17 +296,24 @@ def deep_tune_top(
     label: str = "label",
     seed: int = SEED,
 ) -> DataFrame:
-    """Screen all sets, tune the best ones, test them: (feature_set, roc_auc, avg_precision, best_params as map)."""
-    best = [r["feature_set"] for r in screen(train, test, sets, screen_params, label, seed).limit(top).collect()]
-
-    def one(name: str):
-        return lambda: _tuned(train, test, sets[name], combos, k, key, label, seed)
-
-    rows = [
-        (name, found["roc_auc"], found["avg_precision"], {n: str(v) for n, v in params.items()})
-        for name, (params, found) in zip(best, in_parallel([one(n) for n in best]))
-    ]
-    frame = train.sparkSession.createDataFrame(
+    """Screen all sets, tune the best ones together, test them: (feature_set, roc_auc, avg_precision, best_params as map)."""
+    names = [r["feature_set"] for r in screen(train, test, sets, screen_params, key, label, seed).limit(top).collect()]
+    cols = _all_columns({n: sets[n] for n in names})
+    folded = Binned(with_fold(train, key, k, seed, label).select(key, label, "fold", *cols), cols, key, label, "fold")
+    try:
+        measured = _measured(folded, [_job(folded, sets[n], c, range(k)) for n in names for c in combos], seed)
+    finally:
+        folded.unpersist()
+    best = {}
+    for i, name in enumerate(names):
+        own = _candidates(combos, measured[i * len(combos) : (i + 1) * len(combos)])
+        best[name] = combos[max(own, key=lambda r: (r[2] if r[2] is not None else -1.0, r[4] if r[4] is not None else -1.0, -r[0]))[0]]
+    data = _parts(train, test, cols, key, label)
+    try:
+        tested = _measured(data, [_job(data, sets[n], best[n], [0]) for n in names], seed)
+    finally:
+        data.unpersist()
+    rows = [(n, *found.get(0, (None, None)), {p: str(v) for p, v in best[n].items()}) for n, found in zip(names, tested)]
+    return rank_results(train.sparkSession.createDataFrame(
         rows, "feature_set string, roc_auc double, avg_precision double, best_params map<string,string>"
-    )
-    return rank_results(frame)
+    ))

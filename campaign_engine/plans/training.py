@@ -13,6 +13,7 @@ from campaign_engine.operators.campaign import percentile_rank
 from campaign_engine.operators.columns import select_existing
 from campaign_engine.operators.prep import feature_defaults, feature_names, fit_sample, split, with_split
 from campaign_engine.operators.shape import overlay, stack_tagged
+from campaign_engine.operators.shared_forest import Binned, Job, held_out_scores
 from campaign_engine.operators.supervised import (
     ConversionModel,
     fit_classifier,
@@ -20,6 +21,7 @@ from campaign_engine.operators.supervised import (
     predict,
     score,
 )
+from campaign_engine.operators.tree_growth import growth_of
 from campaign_engine.schemas import CAMPAIGN_COLS, CAT_COLS, ID_COL, POSITIVE_CLASS, SEED, TARGET_COL
 from campaign_engine.session import in_parallel
 
@@ -81,18 +83,37 @@ def classifier_metrics(held_out: DataFrame, names: Sequence[str]) -> DataFrame:
     return stack_tagged(rows, "model")
 
 
+def forest_regression(
+    data: DataFrame, cols: Sequence[str], target: str, trees: int = 120, depth: int | None = None, seed: int = SEED
+) -> DataFrame:
+    """Test part with ``prediction``: a forest of full trees, or of some depth, learns the whole training part.
+
+    Its trees grow and predict as jobs on one binned table, so that no model passes through the driver. Rows without a
+    target are not predicted.
+    """
+    folded = with_split(data, ID_COL, 0.2, seed).withColumn("fold", F.when(F.col("is_test"), 0).otherwise(1))
+    growth, cut, _ = growth_of({"max_features": max(1, len(cols) // 3), "max_depth": depth}, range(len(cols)), "squares")
+    binned = Binned(folded.select(ID_COL, target, "fold", *cols), cols, ID_COL, target, "fold")
+    found = held_out_scores(binned, [Job(growth, cut, trees, (0,))], seed).select("hash", F.col("y"), F.col("score").alias("prediction"))
+    test = folded.filter("is_test").drop("is_test", "fold").withColumns(
+        {"hash": F.xxhash64(ID_COL), "y": F.col(target).cast("double")}
+    )
+    return test.join(found, ["hash", "y"]).drop("hash", "y")
+
+
 def train_regressors(
-    data: DataFrame, target: str = "total_spent", trees: int = 120, depth: int = 30, seed: int = SEED
+    data: DataFrame, target: str = "total_spent", trees: int = 120, depth: int | None = None, seed: int = SEED
 ) -> DataFrame:
     """(model, rmse, r2), best first, fitted on the whole training part. Columns computed from the target are not features."""
     cols = feature_names(data, target)
     train, test = split(data, ID_COL, 0.2, seed)
-    results = {
-        name: metrics.regression_metrics(
-            predict(fit_regressor(train, kind, cols, target, trees, seed, depth), test), target, "prediction"
+    results = {}
+    for name, kind in REGRESSORS.items():
+        predicted = (
+            predict(fit_regressor(train, kind, cols, target), test) if kind == "linear"
+            else forest_regression(data, cols, target, trees, depth, seed)
         )
-        for name, kind in REGRESSORS.items()
-    }
+        results[name] = metrics.regression_metrics(predicted, target, "prediction")
     return stack_tagged(results, "model").orderBy("rmse")
 
 

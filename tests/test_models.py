@@ -73,7 +73,6 @@ def test_search_spaces():
     assert sizes == {"v1": 288, "v2": 144, "v3": 96, "v3_fast": 32}
     draws = tune.random_combinations(tune.SPACES["v4"], 30)
     assert len({str(d) for d in draws}) == 30 and draws == tune.random_combinations(tune.SPACES["v4"], 30)
-    assert len(tune.distinct_forests(tune.grid_combinations(tune.SPACES["v1"]))) == 288 // 3
 
 
 def test_forest_mapping():
@@ -96,36 +95,43 @@ def test_tune_picks_by_the_wanted_metric(data):
     assert f"max_depth={best['max_depth']}" in rows[0]["params"]
 
 
-def _seen(monkeypatch):
-    """Numbers of rows that searches fit on and score."""
-    fitted, scored = [], []
-    fit, score = tune._fit, tune.score
-    monkeypatch.setattr(tune, "_fit", lambda df, *a: fitted.append(df.count()) or fit(df, *a))
-    monkeypatch.setattr(tune, "score", lambda m, df, *a: scored.append(df.count()) or score(m, df, *a))
-    return fitted, scored
+def test_candidates_count_only_by_what_they_say(data):
+    """Parameters that once had no effect have one now, and equal forests get equal results."""
+    base = {"n_estimators": 6, "max_features": None}
+    combos = [base, {**base, "min_samples_split": 60}, {**base, "ccp_alpha": 0.02}, {**base, "max_depth": None}, {**base, "class_weight": "balanced_subsample"}]
+    _, results = tune.tune(data, ["a", "b", "noise"], combos, 2)
+    rows = {r["candidate"]: r for r in results.collect()}
+    assert len(rows) == 5 and rows[0]["roc_auc"] == rows[3]["roc_auc"]
+    assert len({round(rows[i]["roc_auc"], 12) for i in (0, 1, 2, 4)}) == 4
+    assert all(0.8 < r["roc_auc"] <= 1 and r["roc_auc_std"] >= 0 for r in rows.values())
 
 
-def test_bounded_fits_are_scored_on_whole_folds(spark, data, monkeypatch):
-    fitted, scored = _seen(monkeypatch)
-    combos = [{**SMALL, "max_depth": 1}, SMALL]
-    tune.tune(data, ["a", "b"], combos, 2, fit_rows=50)
-    assert fitted == [50] * 4 and len(scored) == 4 and sum(scored) == 2 * 400
-    scored.clear()
-    train, test = prep.split(data, "client_id", 0.2, stratify="label")
-    tune.compare_versions(train, test, {"v": (["a", "b"], "label")}, combos, fit_rows=50)
-    assert sum(scored) == 2 * 320 + 80
-
-
-def test_registered_searches_score_every_row(spark, data, monkeypatch):
+def test_searches_score_every_row_of_every_fold(spark, data, monkeypatch):
     from campaign_engine.catalog import models
 
-    fitted, scored = _seen(monkeypatch)
+    scored = []
+    real = tune.held_out_scores
+    monkeypatch.setattr(tune, "held_out_scores", lambda *a: scored.append(real(*a)) or scored[-1])
     monkeypatch.setattr(models, "coded", lambda *_: data)
     monkeypatch.setattr(models, "BEHAVIOUR_COLS", ["a", "b"])
-    monkeypatch.setattr(models, "SEARCH_ROWS", 40)
+    monkeypatch.setattr(models, "FIT_ROWS", 40)
     monkeypatch.setitem(tune.SPACES, "light", {"n_estimators": [3], "max_depth": [2, 3]})
-    models._search("light")(spark, "")
-    assert fitted == [40] * 4 and sum(scored) == 2 * 400
+    assert models._search("light")(spark, "").count() == 2
+    kept = tune.Binned(prep.with_fold(data, "client_id", 2, stratify="label"), ["a", "b"], "client_id", "label", "fold")
+    assert kept.rows == 400
+    job = tune._job(kept, ["a", "b"], {"n_estimators": 3}, [0, 1])
+    assert real(kept, [job]).groupBy("hash").count().filter("count = 1").count() == 400
+    train, test = prep.split(data, "client_id", 0.2, stratify="label")
+    table, detail = tune.compare_versions(train, test, {"v": (["a", "b"], "label")}, [{**SMALL, "max_depth": 1}, SMALL])
+    row = table.first()
+    assert row["tn"] + row["fp"] + row["fn"] + row["tp"] == 80 and row["roc_auc"] > 0.8 and detail.count() == 5
+
+
+def test_registered_searches_are_all_named_ones():
+    from campaign_engine.catalog import load
+
+    names = {f"{mode}_search_{name}" for name, (mode, *_) in tune.SEARCHES.items()}
+    assert names <= load()[0].keys() and len(names) == 8 and "deep_tune_top" in load()[0]
 
 
 def test_screening_prefers_the_informative_set(data):
@@ -193,20 +199,18 @@ def test_registered_regressors_learn_the_whole_training_part(spark, data, monkey
     from campaign_engine.catalog import models
     from campaign_engine.plans import training
 
-    seen = []
-
-    def fit(df, kind, cols, target, *_):
-        seen.append(df.count())
-        return real(df, kind, cols, target, 2, depth=3)
-
-    real = supervised.fit_regressor
-    monkeypatch.setattr(supervised, "fit_regressor", fit)
-    monkeypatch.setattr(training, "fit_regressor", fit)
+    learnt = []
+    real = training.Binned
+    monkeypatch.setattr(training, "Binned", lambda df, *a: learnt.append(df.filter("fold = 1").count()) or real(df, *a))
     monkeypatch.setattr(models, "coded", lambda *_: data.withColumn("total_spent", F.col("a")))
     monkeypatch.setattr(models, "FIT_ROWS", 40)
-    assert models._rf_regressor(spark, "").count() == 80
+    rows = models._rf_regressor(spark, "").collect()
+    assert len(rows) == 80
+    errors = [(r["prediction"] - r["total_spent"]) ** 2 for r in rows]
+    mean = sum(r["total_spent"] for r in rows) / 80
+    assert sum(errors) < 0.2 * sum((r["total_spent"] - mean) ** 2 for r in rows)
     models._regression_compare(spark, "")
-    assert seen == [320] * 3
+    assert learnt == [320] * 2
 
 
 @pytest.fixture(scope="module")
