@@ -5,12 +5,12 @@ to a telling name), ``access`` (key ids of 16 or more), ``hex`` (32 or more digi
 20 or more key characters with digits and letters that touches no base match.
 
 The hashes of all candidate values are counted over the whole corpus, by distinct repositories and distinct owners
-(pre-aggregated, so a value in a third of all rows is no large group). A value of ``shared_owners`` or more owners is
-a widely copied example; any other is specific to its owners and looks live. Base matches are always reported, bare
-ones only if they look live.
+(pre-aggregated, so a value in a third of all rows is no large group). A value of ``shared_owners`` or more owners, or
+of ``shared_repositories`` or more repositories, whoever owns them, is a widely copied example; any other is specific
+to its owners and looks live. Base matches are always reported, bare ones only if they look live.
 
 Spans count code points, end exclusive. Null and empty texts have no matches. A null owner or repository counts as one
-of its own. Rows that repeat an id are judged one by one.
+of its own. Rows that repeat an id, or have none, are judged one by one.
 """
 
 from __future__ import annotations
@@ -99,21 +99,26 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return by_repository.join(by_owner, "hash")
 
 
-def _examples(found: DataFrame, shared_owners: int) -> DataFrame:
-    """(example_id, examples): the hashes of widely copied values among the candidates of each id."""
-    candidates = found.select("id", "owner", "repository", F.explode(F.concat("base", "bare")).alias("s")).select(
-        "id", "owner", "repository", _hash(F.col("s.value")).alias("hash")
+def _verdicts(found: DataFrame, shared_owners: int, shared_repositories: int) -> DataFrame:
+    """(verdict_row, examples, most_owners, most_repositories) of (own_row, owner, repository, base, bare): the hashes of
+    widely copied values among the candidates of each row, and how widely its values are copied at most."""
+    candidates = found.select("own_row", "owner", "repository", F.explode(F.concat("base", "bare")).alias("s")).select(
+        "own_row", "owner", "repository", _hash(F.col("s.value")).alias("hash")
+    )
+    counted = stored(ownership(candidates))
+    wide = (F.col("owners") >= shared_owners) | (F.col("repositories") >= shared_repositories)
+    met = lookup(candidates.select("own_row", "hash"), counted, "hash", "n")
+    return met.groupBy(F.col("own_row").alias("verdict_row")).agg(
+        F.collect_set(F.when(wide, F.col("hash"))).alias("examples"), F.max("owners").alias("most_owners"),
+        F.max("repositories").alias("most_repositories"),
     )
-    counted = stored(ownership(candidates).filter(F.col("owners") >= shared_owners))
-    met = lookup(candidates.select("id", "hash"), counted, "hash", "n")
-    return met.groupBy(F.col("id").alias("example_id")).agg(F.collect_set("hash").alias("examples"))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.col(owner_col).alias("owner"), F.col(repository_col).alias("repository"),
                        F.col(text_col).alias("text"))
     spans = rows.withColumn("base", base_spans(F.col("text"))).withColumn("bare", bare_spans(F.col("text"), F.col("base")))
-    return stored(spans.drop("text"))
+    return stored(spans.drop("text").withColumn("own_row", F.monotonically_increasing_id()))
 
 
 def _listed(spans: Column) -> Column:
@@ -123,15 +128,17 @@ def _listed(spans: Column) -> Column:
 
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id",
-    shared_owners: int = 3,
+    shared_owners: int = 3, shared_repositories: int = 100,
 ) -> DataFrame:
-    """(id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples) of each row.
+    """(id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples, most_owners, most_repositories) of
+    each row.
 
-    ``n_live`` and ``n_examples`` split the base matches by the ownership of their values.
+    ``n_live`` and ``n_examples`` split the base matches by the ownership of their values; the last two are the largest
+    numbers of owners and repositories of one of the row's candidate values (0 without any).
     """
     found = _found(docs, id_col, text_col, owner_col, repository_col)
-    known = _examples(found.filter("size(base) + size(bare) > 0"), shared_owners)
-    judged = found.join(known, F.col("id").eqNullSafe(F.col("example_id")), "left")
+    known = _verdicts(found.filter("size(base) + size(bare) > 0"), shared_owners, shared_repositories)
+    judged = found.join(known, F.col("own_row") == F.col("verdict_row"), "left")
     shared = lambda s: F.coalesce(F.array_contains("examples", _hash(s["value"])), F.lit(False))
     live = F.filter("bare", lambda s: ~shared(s))
     number = lambda condition: F.size(F.filter("base", condition)).cast("long")
@@ -142,6 +149,7 @@ def scan(
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.array_sort(F.concat("base", live))).alias("spans"),
         number(lambda s: ~shared(s)).alias("n_live"), number(shared).alias("n_examples"),
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("most_owners", "most_repositories")),
     )
 
 
@@ -160,24 +168,27 @@ def _covered(text: Column, spans: Column) -> Column:
 
 def masked(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id",
-    shared_owners: int = 3, live_mark: str = "[SECRET]", example_mark: str = "[EXAMPLE]",
+    shared_owners: int = 3, shared_repositories: int = 100, live_mark: str = "[SECRET]", example_mark: str = "[EXAMPLE]",
 ) -> DataFrame:
     """``docs`` with the value of every reported span replaced by a mark that says how it was judged."""
-    found = _found(docs, id_col, text_col, owner_col, repository_col).filter("size(base) + size(bare) > 0")
-    known = _examples(found, shared_owners)
     taken = {c.lower() for c in docs.columns}
-    own = {n: next(f"{n}{'_' * k}" for k in range(1, 99) if f"{n}{'_' * k}" not in taken) for n in ("base", "bare", "example_id", "examples")}
-    known = known.select(F.col("example_id").alias(own["example_id"]), F.col("examples").alias(own["examples"]))
+    own = {n: next(f"{n}{'_' * k}" for k in range(1, 99) if f"{n}{'_' * k}" not in taken) for n in ("base", "bare", "row", "verdict", "examples")}
     text = F.col(text_col)
     base, bare, examples = (F.col(own[n]) for n in ("base", "bare", "examples"))
     spotted = text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX) | text.rlike(BARE)
     spotted = F.coalesce(spotted, F.lit(False))
-    rows = docs.filter(spotted).join(known, docs[id_col].eqNullSafe(known[own["example_id"]]), "left")
-    rows = rows.withColumn(own["base"], base_spans(text)).withColumn(own["bare"], bare_spans(text, base))
+    rows = docs.filter(spotted).withColumn(own["base"], base_spans(text)).withColumn(own["bare"], bare_spans(text, base))
+    rows = stored(rows.withColumn(own["row"], F.monotonically_increasing_id()))  # spans are found once
+    known = _verdicts(
+        rows.select(F.col(own["row"]).alias("own_row"), F.col(owner_col).alias("owner"), F.col(repository_col).alias("repository"),
+                    base.alias("base"), bare.alias("bare")),
+        shared_owners, shared_repositories,
+    ).select(F.col("verdict_row").alias(own["verdict"]), F.col("examples").alias(own["examples"]))
+    judged = rows.join(known, F.col(own["row"]) == F.col(own["verdict"]), "left")
     shared = lambda s: F.coalesce(F.array_contains(examples, _hash(s["value"])), F.lit(False))
     spans = F.concat(base, F.filter(bare, lambda s: ~shared(s)))
     marked = F.array_sort(F.transform(spans, lambda s: F.struct(
         (s["end"] - F.length(s["value"])).alias("start"), (-s["end"]).alias("by_end"), s["end"].alias("end"),
         F.when(shared(s), F.lit(example_mark)).otherwise(F.lit(live_mark)).alias("mark"))))
-    covered = rows.withColumn(text_col, F.when(F.size(spans) > 0, _covered(text, marked)).otherwise(text))
+    covered = judged.withColumn(text_col, F.when(F.size(spans) > 0, _covered(text, marked)).otherwise(text))
     return docs.filter(~spotted).unionByName(covered.select(docs.columns))
