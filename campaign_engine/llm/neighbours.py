@@ -11,7 +11,8 @@ when all vectors have been verified: nothing is capped.
 Index rows and queries are dealt to bounded blocks and each pair of blocks is searched in one task. Vectors that are
 null, empty, zero, or hold null or non-finite components take no part; nor do rows without an id. Rows that repeat an
 id are separate candidates; of a query id that repeats, the smallest vector is the query. All vectors must have the
-same number of components.
+same number of components. A score is summed over the components in their order, in double precision, so it is the
+same wherever it is computed.
 """
 
 from __future__ import annotations
@@ -31,6 +32,14 @@ WINDOW = 1.25  # half of a window's width, in units of the radius
 FIRST, GROWTH = 0.1, 1.08  # radii, in units of the common length
 
 
+def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, one component after another."""
+    total = np.zeros(len(vectors))
+    for column, value in zip(vectors.T, query):
+        total += column * value
+    return total
+
+
 class Index:
     """Sorted projections of the vectors of a block."""
 
@@ -87,7 +96,7 @@ class Index:
                 elif len(fresh) > k:
                     fresh = fresh[near >= np.partition(near, -k)[-k] - 1e-4 * self.length * size]
                 ids = np.concatenate([ids, self.ids[fresh]])
-                scores = np.concatenate([scores, np.einsum("ij,j->i", self.vectors[fresh], query)])
+                scores = np.concatenate([scores, inner(self.vectors[fresh], query)])
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
             # at this radius, the inner product is length * size - radius^2 * size / (2 * length)

@@ -64,11 +64,18 @@ def test_ftrl_rule_on_one_coordinate():
 
 
 def plain_nearest(rows, k):
-    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    good = [(i, [float(x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+
+    def product(q, v):
+        total = 0.0
+        for a, b in zip(q, v):
+            total += b * a
+        return total
+
     out = {}
     for i, q in good:
         if i % 20 == 0:
-            out[i] = sorted(((-float(q @ v), j) for j, v in good if j != i))[:k]
+            out[i] = sorted(((-product(q, v), j) for j, v in good if j != i))[:k]
     return out
 
 
@@ -91,7 +98,7 @@ def test_search_blocks_ties_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "INDEX_BLOCK", 40)
     monkeypatch.setattr(neighbours, "QUERY_BLOCK", 3)
     rng = np.random.default_rng(1)
-    rows = [(i, rng.standard_normal(6).round(1).tolist()) for i in range(150)]
+    rows = [(i, (rng.standard_normal(6) * 8).round().__truediv__(8).tolist()) for i in range(150)]  # exact in binary: ties are ties
     rows += [(i, [1.0, 2.0, 0.0, 0.0, 0.0, 0.5]) for i in range(150, 200)]
     rows += [(200, None), (201, []), (202, [0.0] * 6), (203, [None, 1.0, 1.0, 1.0, 1.0, 1.0]), (204, [float("nan")] + [1.0] * 5),
              (205, [float("inf")] + [1.0] * 5), (None, [1.0] * 6)]
@@ -101,7 +108,7 @@ def test_search_blocks_ties_and_odd_vectors(spark, monkeypatch):
     for r in neighbours.nearest(frame, queries, k=5, slack=100).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
     want = plain_nearest(rows, 5)
-    assert {q: [f[2] for f in sorted(v)] for q, v in got.items()} == {q: [j for _, j in v] for q, v in want.items()}
+    assert {q: [(f[1], f[2]) for f in sorted(v)] for q, v in got.items()} == {q: [(-s, j) for s, j in v] for q, v in want.items()}
     few = neighbours.nearest(frame.filter("vec_id in (0, 1, 2)"), queries.filter("vec_id = 0"), k=5).collect()
     assert sorted(r["vec_id"] for r in few) == [1, 2]
     assert neighbours.nearest(frame.limit(0), queries).count() == 0 and neighbours.nearest(frame, queries.limit(0)).count() == 0
