@@ -4,7 +4,8 @@ A document is its ids and an end id; only one longer than a sequence is cut, int
 Each piece goes where the squared counts of open sequences per remaining gap then sum up to least: into an open
 sequence with a certain gap, or into a new one. Full sequences don't count. Pieces are placed from long to short.
 
-Rows of pieces (no ids) are dealt evenly to groups of about ``group`` pieces; each group packs on its own, at most
+Rows of pieces (no ids) are dealt by their place in the stored table, so evenly whatever they hold, to groups of about
+``group`` pieces; each group packs on its own, at most
 about a gap's worth of open sequences remaining in each, so that sequences are few and no task holds all pieces.
 Null and empty texts are an end id alone. Rows that repeat an id are packed as separate documents.
 """
@@ -98,5 +99,5 @@ def pack(
         )
 
     schema = T.StructType([*rows.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    dealt = rows.withColumn("own_group", F.pmod(F.xxhash64(*rows.columns), F.lit(groups)))
+    dealt = rows.withColumn("own_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("own_group").applyInArrow(place, schema)

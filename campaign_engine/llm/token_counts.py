@@ -85,10 +85,12 @@ class Trie:
         ends = [known[w] if w else (0, 0.0) for w in words]
         at = seen.indices.to_numpy() if len(seen) else np.empty(0, np.int64)
         stops = np.cumsum(each)
-        out = []
+        out, some = [], each > 0
         for values in (np.array([c for c, _ in ends], np.int64), np.array([s for _, s in ends], np.float64)):
-            sums = np.concatenate([[0], np.cumsum(values[at])]) if len(values) else np.zeros(1)
-            out.append(sums[stops] - sums[stops - each])
+            sums = np.zeros(len(each), values.dtype)
+            if some.any():  # each text is summed on its own, so its score doesn't depend on its neighbours
+                sums[some] = np.add.reduceat(values[at], (stops - each)[some])
+            out.append(sums)
         return out[0], out[1]
 
 

@@ -157,3 +157,23 @@ def test_trie_shares_prefixes_and_forgets_within_bounds():
     assert trie.known == {"ab": (1, -2.5), "abc": (2, -2.0)}
     trie.insert(["b", "zz"])
     assert set(trie.known) == {"b", "zz"} and trie.known["zz"][0] == 3
+
+
+def test_scores_do_not_depend_on_their_batch():
+    import pyarrow as pa
+
+    from campaign_engine.llm import token_counts
+    from campaign_engine.llm.queries import PIECES
+
+    trie = token_counts.Trie(token_counts.unigram_scores(PIECES))
+    rng = __import__("random").Random(3)
+    texts = ["", " "] + [" ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 9))) for _ in range(rng.randint(0, 60))) for _ in range(200)] + [""]
+    together = trie.totals(pa.array(texts, pa.large_string()))
+    alone = [trie.totals(pa.array([t], pa.large_string())) for t in texts]
+    assert together[0].tolist() == [a[0][0] for a in alone] and together[1].tolist() == [a[1][0] for a in alone]
+
+
+def test_equal_rows_are_dealt_to_all_groups(spark):
+    docs = spark.range(3000).selectExpr("cast(null as long) as doc_id", "cast(null as string) as text")
+    rows = packing.pack(docs, TOKENIZER, size=16, end_id=0, group=300).selectExpr("sequence_id >> 40 as g", "length").groupBy("g").count().collect()
+    assert len(rows) == 10 and max(r["count"] for r in rows) < 450
