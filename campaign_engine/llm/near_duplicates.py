@@ -299,8 +299,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row of ``docs`` for each component (see above); of rows that repeat id and text, the one with the smallest
     hash. Texts without shingles have no component: each stays, once for its id."""
     kept = F.col("chosen") & F.col("component_id").eqNullSafe(F.col("id"))
-    gone = _grouped(docs, id_col, text_col, **options).filter(~kept).select(_row_key(F.col("id"), F.col("print")).alias("key"))
+    gone = _grouped(docs, id_col, text_col, **options).filter(~kept).select(_row_key(F.col("id"), F.col("print")).alias("document_key"))
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
     one = F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row")
-    rows = docs.groupBy(_row_key(F.col(id_col), _print(text_col)).alias("key")).agg(one)  # repeats end before the shuffle
-    return rows.join(gone.distinct(), "key", "left_anti").select("row.*")
+    rows = docs.groupBy(_row_key(F.col(id_col), _print(text_col)).alias("document_key")).agg(one)  # repeats end before the shuffle
+    return rows.join(gone.distinct(), "document_key", "left_anti").select("row.*")

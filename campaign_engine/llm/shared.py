@@ -66,15 +66,14 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame
     """Inner join of ``rows`` with ``table``, which has each key once and in ``count`` how many rows have it.
 
     Keys with over a thousandth of all rows, at most a thousand of them, are broadcast, so their rows aren't
-    shuffled; all other keys are joined by a shuffle. ``table`` must be cheap to read (stored).
+    shuffled; all other keys are joined by a shuffle. The plan is the same for every input: where no key is hot, the
+    broadcast table has no rows. ``table`` must be cheap to read (stored).
     """
-    total, most = table.agg(F.sum(count), F.max(count)).first()
-    limit = max(100, (total or 0) // HOT_KEYS)
-    if (most or 0) <= limit:
-        return rows.join(table, key)
+    limit = max(100, (table.agg(F.sum(count)).first()[0] or 0) // HOT_KEYS)
     hot, cold = table.filter(F.col(count) > limit), table.filter(F.col(count) <= limit)
     among_hot = rows.join(F.broadcast(hot), key)
-    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    marked = rows.join(F.broadcast(hot.select(key, F.lit(True).alias("own_hot"))), key, "left")
+    others = marked.filter("own_hot is null").drop("own_hot").join(cold, key)
     return among_hot.unionByName(others)
 
 
