@@ -192,16 +192,16 @@ def _across(size: int, words: int, percent: int):
         node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
         texts, sets = table.column("text"), {}
 
-        def of(row: int) -> set:
+        def of(row: int) -> np.ndarray:  # sorted hashes: a tenth of the memory of a set of numbers
             if row not in sets:
-                sets[row] = set(distinct_shingles(pa.array([texts[row].as_py()], pa.large_string()), words)[0].tolist())
+                sets[row] = distinct_shingles(pa.array([texts[row].as_py()], pa.large_string()), words)[0]
             return sets[row]
 
         out = []
         for i, others in _facing(table, size, percent):
             best: dict[int, tuple[float, int]] = {}
             for j in others.tolist():
-                same = len(of(i) & of(j))
+                same = len(np.intersect1d(of(i), of(j), assume_unique=True))
                 union = len(of(i)) + len(of(j)) - same
                 if 100 * same >= percent * union:
                     best[label[j]] = max(best.get(label[j], (-1.0, -1)), (same / union, int(node[j])))

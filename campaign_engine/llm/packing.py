@@ -25,6 +25,8 @@ from campaign_engine.llm.shared import ship, slices, stored
 from campaign_engine.llm.token_files import with_end
 from campaign_engine.llm.tokens import loaded
 
+TABLE = 300_000  # chunks that a worker remembers; workers outlive the stage, and their memory adds up in a pipeline
+
 
 def packed(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, offset) of each length (1 to size), by the sum-of-squares rule."""
@@ -58,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str
     ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = loaded(tokenizer)
+        encoder = loaded(tokenizer, TABLE)
         for batch in batches:
             done = 0
             for texts in slices(batch.column("text"), 1 << 22):

@@ -129,11 +129,11 @@ class TextTokens:
         return gathered(flat, start[use], (stop - start)[use]), counts
 
 
-_LOADED: dict[str, TextTokens] = {}
+_LOADED: dict[tuple[str, int], TextTokens] = {}
 
 
-def loaded(path: str) -> TextTokens:
-    """The encoder of this worker process for a file."""
-    if path not in _LOADED:
-        _LOADED[path] = TextTokens(path)
-    return _LOADED[path]
+def loaded(path: str, limit: int = 800_000) -> TextTokens:
+    """The encoder of this worker process for a file, with a table of at most ``limit`` chunks (about 150 bytes each)."""
+    if (path, limit) not in _LOADED:
+        _LOADED[path, limit] = TextTokens(path, limit)
+    return _LOADED[path, limit]
