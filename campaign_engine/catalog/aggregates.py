@@ -12,31 +12,25 @@ from campaign_engine.operators.columns import round_cols
 from campaign_engine.schemas import BEHAVIOUR_COLS, CAT_COLS, NUMERIC_COLS
 from campaign_engine.sources.client_profile import client_profile, scored, table
 
-# The five market segments, which name the pivot's columns.
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
 
 @query(
     "pivot_channel",
     with_tables(
-        "SELECT country, "
-        + ", ".join(
-            f"coalesce({rnd(f'avg(total_spent) FILTER (WHERE channel = {chr(39)}{s}{chr(39)})', 6)}, 0.0::DOUBLE) AS {s.lower()}_mean, "
-            f"count(total_spent) FILTER (WHERE channel = '{s}') AS {s.lower()}_count"
-            for s in SEGMENTS
-        )
-        + " FROM (SELECT *, upper(acquisition_channel) AS channel FROM normalized) WHERE country IS NOT NULL GROUP BY country",
+        "SELECT country, channel, "
+        f"coalesce({rnd('avg(total_spent)', 6)}, 0.0::DOUBLE) AS mean, count(total_spent) AS count FROM ("
+        "SELECT c.country, d.channel, total_spent FROM (SELECT DISTINCT country FROM known) c "
+        "CROSS JOIN (SELECT DISTINCT channel FROM known) d LEFT JOIN known k ON k.country = c.country AND k.channel = d.channel"
+        ") GROUP BY country, channel",
+        "known AS (SELECT country, upper(acquisition_channel) AS channel, total_spent FROM normalized "
+        "WHERE country IS NOT NULL AND acquisition_channel IS NOT NULL)",
         start="normalized",
     ),
 )
 def _pivot(spark, sf_dir):
+    """Every cell of the pivot, whatever channels there are."""
     df = normalized(spark, sf_dir).withColumn("channel", F.upper("acquisition_channel"))
     wide = ops.pivot_metrics(df, "country", "channel", "total_spent")
-    return wide.select(
-        "country",
-        *[round_places(F.col(f"{s}_mean"), 6).alias(f"{s.lower()}_mean") for s in SEGMENTS],
-        *[F.col(f"{s}_count").alias(f"{s.lower()}_count") for s in SEGMENTS],
-    )
+    return ops.pivot_cells(wide, "country", "channel").withColumn("mean", round_places(F.col("mean"), 6))
 
 
 @query(

@@ -41,6 +41,14 @@ def pivot_metrics(
     return wide.fillna(fill)
 
 
+def pivot_cells(wide: DataFrame, index: str, columns: str) -> DataFrame:
+    """(index, columns, mean, count): the cells of ``pivot_metrics`` as rows."""
+    names = [c.removesuffix("_mean") for c in wide.columns if c.endswith("_mean")]
+    cells = [F.struct(F.lit(n).alias(columns), F.col(f"`{n}_mean`").alias("mean"), F.col(f"`{n}_count`").alias("count")) for n in names]
+    found = F.array(*cells).cast(f"array<struct<`{columns}`: string, mean: double, count: bigint>>")
+    return wide.select(index, F.explode(found).alias("cell")).select(index, *[F.col("cell")[i].alias(i) for i in (columns, "mean", "count")])
+
+
 def category_names(df: DataFrame, col: str, limit: int = 1_000) -> list[str]:
     """The values of a category, for a pivot; refuses columns that are not categories."""
     rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()

@@ -140,3 +140,15 @@ def test_nan_is_no_outlier_and_inertia_skips_nulls(spark):
     assert (row["nulls"], row["outliers"]) == (1, 0)
     three = spark.createDataFrame([(1.0, "g"), (3.0, "g"), (None, "g")], "x double, g string")
     assert inertia(three, ["x"], "g").first()["inertia"] == 2.0
+
+
+def test_registered_pivot_has_every_channel(spark, monkeypatch):
+    from campaign_engine.catalog import aggregates
+
+    rows = [("A", c, float(i)) for i, c in enumerate(["one", "two", "three", "four", "five", "six.th", None])] + [("B", "six.th", None), (None, "one", 1.0)]
+    frame = spark.createDataFrame(rows, "country string, acquisition_channel string, total_spent double")
+    monkeypatch.setattr(aggregates, "normalized", lambda *_: frame)
+    got = {(r["country"], r["channel"]): (r["mean"], r["count"]) for r in aggregates._pivot(spark, "").collect()}
+    assert len(got) == 12 and got["A", "SIX.TH"] == (5.0, 1) and got["B", "SIX.TH"] == (0.0, 0) and got["B", "ONE"] == (0.0, 0)
+    monkeypatch.setattr(aggregates, "normalized", lambda *_: frame.limit(0))
+    assert aggregates._pivot(spark, "").collect() == []
