@@ -35,6 +35,8 @@ HEADLINES = [
     "rf_classifier",
     "campaign_scores",
     "random_search_light",
+    "rf_regressor",
+    "compare_versions_table",
 ]
 
 
