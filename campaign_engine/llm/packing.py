@@ -25,9 +25,6 @@ from campaign_engine.llm.shared import ship, slices, stored
 from campaign_engine.llm.token_files import with_end
 from campaign_engine.llm.tokens import loaded
 
-TABLE = 300_000  # chunks that a worker remembers; workers outlive the stage, and their memory adds up in a pipeline
-
-
 def packed(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, offset) of each length (1 to size), by the sum-of-squares rule."""
     sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
@@ -55,12 +52,14 @@ def packed(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
-def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", table: int = 800_000
+) -> DataFrame:
     """(id_col, piece, start, length, ids_crc32) of each piece of each document."""
     ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = loaded(tokenizer, TABLE)
+        encoder = loaded(tokenizer, table)
         for batch in batches:
             done = 0
             for texts in slices(batch.column("text"), 1 << 22):
@@ -87,10 +86,14 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str
 
 def pack(
     docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-    group: int = 40_000,
+    group: int = 40_000, table: int = 800_000,
 ) -> DataFrame:
-    """The pieces of all documents with ``sequence_id`` and ``offset``, their place there."""
-    rows = stored(pieces(docs, tokenizer, size, end_id, id_col, text_col))
+    """The pieces of all documents with ``sequence_id`` and ``offset``, their place there.
+
+    ``table``: chunks that a worker remembers, about 150 bytes each. Workers outlive the stage, so a job of many stages
+    may want fewer.
+    """
+    rows = stored(pieces(docs, tokenizer, size, end_id, id_col, text_col, table))
     groups = max(1, -(-rows.count() // group))
 
     def place(table: pa.Table) -> pa.Table:
