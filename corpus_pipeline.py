@@ -36,7 +36,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their places in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=0)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=0, table=300_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
