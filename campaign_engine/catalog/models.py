@@ -15,7 +15,7 @@ from campaign_engine.catalog.base import profile, query, rnd, with_tables
 from campaign_engine.catalog.cleaning import cleaned, normalized
 from campaign_engine.catalog.sources import scratch
 from campaign_engine.functions.numeric import round_places
-from campaign_engine.operators import cluster, metrics, prep, supervised, tune
+from campaign_engine.operators import cluster, logistic, metrics, prep, supervised, tune
 from campaign_engine.operators.columns import drop_nulls, round_cols
 from campaign_engine.operators.features import add_engineered_features, search_sets
 from campaign_engine.plans import cleaning, training
@@ -290,7 +290,7 @@ def _split(spark, sf_dir):
 def _scored_by(kind: str, params: dict):
     def run(spark, sf_dir):
         train, test, cols = _split(spark, sf_dir)
-        model = supervised.fit_classifier(to_fit(train), kind, cols, params)
+        model = supervised.fit_classifier(to_fit(train) if kind == "rf" else train, kind, cols, params)
         return supervised.score(model, test).select(ID_COL, "label", "conversion_score", "prediction")
 
     return run
@@ -300,6 +300,45 @@ query("rf_classifier")(_scored_by(*training.CLASSIFIERS["Random Forest"]))
 query("lr_classifier")(_scored_by(*training.CLASSIFIERS["Regresión Logística"]))
 
 
+_STEPS = 12  # steps of the SQL form, which has no test for the end
+
+
+@query(
+    "lr_coefficients",
+    with_tables(
+        "SELECT " + rnd("b0", 6) + " AS intercept, " + rnd("b1", 6) + " AS weight, n FROM line, (SELECT count(*) AS n FROM z) "
+        f"WHERE step = {_STEPS}",
+        "z AS (SELECT label AS y, (score - (SELECT avg(score) FROM scored)) / (SELECT stddev_pop(score) FROM scored) AS x FROM scored)",
+        "line AS (SELECT 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 UNION ALL "
+        "SELECT step + 1, b0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) "
+        "FROM (SELECT step, b0, b1, sum(p - y) AS g0, sum((p - y) * x) + b1 AS g1, sum(p * (1 - p)) AS h00, "
+        "sum(p * (1 - p) * x) AS h01, sum(p * (1 - p) * x * x) + 1 AS h11 FROM (SELECT step, b0, b1, x, y, "
+        f"1 / (1 + exp(-(b0 + b1 * x))) AS p FROM line, z WHERE step < {_STEPS}) GROUP BY step, b0, b1))",
+        start="scored",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def _lr_coefficients(spark, sf_dir):
+    """The label by the score: one feature, so that SQL can take the same steps."""
+    df = scored(spark, sf_dir).select("score", "label")
+    line = logistic.fit(df, ["score"], prep.moments(df, ["score"]))
+    return df.agg(F.count("*").alias("n")).select(
+        round_places(F.lit(line.intercept), 6).alias("intercept"), round_places(F.lit(line.weights[0]), 6).alias("weight"), "n"
+    )
+
+
+@query(
+    "lr_gradient",
+    "SELECT term, 0.0::DOUBLE AS gradient FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in ["intercept", *BEHAVIOUR_COLS]) + ") v(term)",
+)
+def _lr_gradient(spark, sf_dir):
+    """The size of the loss's mean gradient at the fit to all training rows: 0 at the minimum, which is the only one."""
+    train, _ = prep.split(coded(spark, sf_dir), ID_COL, 0.2, stratify="label")
+    line = logistic.fit(train, BEHAVIOUR_COLS, prep.moments(train, BEHAVIOUR_COLS))
+    slopes = logistic.gradient(train, line)
+    return slopes.select("term", F.abs(round_places(F.col("gradient"), 7)).alias("gradient"))
+
+
 @query(
     "linear_regressor",
     with_tables(

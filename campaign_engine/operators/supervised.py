@@ -6,14 +6,15 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from campaign_engine.operators import metrics
+from campaign_engine.operators import logistic, metrics
 from campaign_engine.operators.prep import class_weights, moments, prepare_features, with_fold, with_weight
 from campaign_engine.schemas import DEFAULT_THRESHOLD, ID_COL, SEED
 from campaign_engine.session import in_parallel
@@ -74,18 +75,10 @@ class ConversionModel:
         return cls(PipelineModel.load(f"{path}/pipeline"), {r["feature"]: r["value"] for r in rows})
 
 
-def _scaler(df: DataFrame, cols: Sequence[str]) -> SQLTransformer:
-    """Standardizing stage with fixed statistics, stored with the pipeline."""
-    parts = []
-    for c, (mean, deviation) in moments(df, cols).items():
-        parts.append(f"(`{c}` - {mean!r}D) / {deviation!r}D AS `{c}_z`" if deviation > 0 else f"0.0D AS `{c}_z`")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
-
-
 def fit_classifier(
     df: DataFrame, kind: str, cols: Sequence[str], params: Mapping | None = None, label: str = "label", seed: int = SEED
 ) -> PipelineModel:
-    """``rf`` (100 trees by default) or ``lr`` (standardized, L2 with C = 1)."""
+    """``rf`` (100 trees by default) or ``lr`` (standardized, L2 with C = 1, fitted by Newton's method on all rows)."""
     params = dict(params or {})
     if kind == "rf":
         spec = forest(params)
@@ -95,17 +88,9 @@ def fit_classifier(
         if spec.weighted:
             model.setWeightCol("weight")
     elif kind == "lr":
-        data = df
-        stages = [_scaler(df, cols), VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features")]
-        penalty = 1.0 / (float(params.get("C", 1.0)) * max(df.count(), 1))
-        model = LogisticRegression(
-            labelCol=label,
-            featuresCol="features",
-            maxIter=int(params.get("max_iter", 1000)),
-            regParam=penalty,
-            elasticNetParam=0.0,
-            standardization=False,
-        )
+        scale = moments(df, cols)
+        line = logistic.fit(df, cols, scale, label, float(params.get("C", 1.0)), int(params.get("max_iter", 1000)))
+        return PipelineModel(line.stages())
     else:
         raise ValueError(f"unknown model {kind!r}: use 'rf' or 'lr'")
     prepared = PipelineModel(stages).transform(data)
@@ -130,7 +115,8 @@ def score(model: Transformer, df: DataFrame, name: str = "conversion_score") ->
     """P(class 1) and the predicted class of every row."""
     out = model.transform(df)
     keep = [c for c in out.columns if c in df.columns]
-    return out.select(*keep, vector_to_array("probability")[1].alias(name), F.col("prediction").cast("int").alias("prediction"))
+    both = F.col("probability") if isinstance(out.schema["probability"].dataType, ArrayType) else vector_to_array("probability")
+    return out.select(*keep, both[1].alias(name), F.col("prediction").cast("int").alias("prediction"))
 
 
 def predict(model: Transformer, df: DataFrame) -> DataFrame:

@@ -54,14 +54,17 @@ class Training:
 def train_classifiers(
     data: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED, fit_rows: int | None = None
 ) -> tuple[ConversionModel, DataFrame]:
-    """(the forest with its feature defaults, (model, client_id, label, conversion_score, prediction) of the test part)."""
+    """(the forest with its feature defaults, (model, client_id, label, conversion_score, prediction) of the test part).
+
+    ``fit_rows`` bounds the rows of a kept forest; logistic regression learns the whole training part.
+    """
     cols = feature_names(data, TARGET_COL)
     train, test = split(data, ID_COL, 0.2, seed, "label")
     parts, forest_model = {}, None
-    train = train if fit_rows is None else fit_sample(train, ID_COL, fit_rows)
+    bounded = train if fit_rows is None else fit_sample(train, ID_COL, fit_rows)
 
     def fit(kind: str, params: dict):
-        return lambda: fit_classifier(train, kind, cols, params, seed=seed)
+        return lambda: fit_classifier(bounded if kind == "rf" else train, kind, cols, params, seed=seed)
 
     for (name, (kind, _)), fitted in zip(settings.items(), in_parallel([fit(*s) for s in settings.values()])):
         parts[name] = score(fitted, test).select(ID_COL, "label", "conversion_score", "prediction")
@@ -128,7 +131,7 @@ def campaign_scores(model: ConversionModel, coded: DataFrame, clean: DataFrame,
 
 def train(clean: DataFrame, coded: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED,
           fit_rows: int | None = None) -> Training:
-    """The whole job; classifiers learn all labelled rows of the training part or ``fit_rows`` of them."""
+    """The whole job; forests learn all labelled rows of the training part or ``fit_rows`` of them."""
     data = labelled(coded, clean)
     model, held_out = train_classifiers(data, settings, seed, fit_rows)
     reports = stack_tagged(

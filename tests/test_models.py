@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from campaign_engine.operators import cluster, metrics, prep, supervised, tune
+from campaign_engine.operators import cluster, logistic, metrics, prep, supervised, tune
 from campaign_engine.operators.features import ENGINEERED_COLS, add_engineered_features, screening_sets, search_sets
 from campaign_engine.plans.training import campaign_scores, train_regressors
 from campaign_engine.schemas import NUMERIC_COLS
@@ -248,3 +249,53 @@ def test_campaign_scores_have_readable_labels(spark, data, model):
     out = campaign_scores(model, coded, clean)
     row = out.agg(F.min("gender"), F.max("score_percentil"), F.count_if("is_train"), F.count("*")).first()
     assert row[0] == "Male" and row[1] <= 100 and row[2] == 320 and row[3] == 400
+
+
+def plain_logistic(x, y, c=1.0):
+    """Newton's method on standardized columns, all at once."""
+    z = np.column_stack([np.ones(len(x)), (x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1)])
+    ridge = np.array([0.0] + [1 / c] * x.shape[1])
+    point = np.zeros(z.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-z @ point))
+        point -= np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (p - y) + ridge * point)
+    return point
+
+
+def fitted_line(df, cols, c=1.0):
+    return logistic.fit(df, cols, prep.moments(df, cols), c=c)
+
+
+def test_logistic_equals_plain_newton_for_any_partitioning(data, tmp_path):
+    cols = ["a", "b", "noise"]
+    rows = np.array([[r[c] for c in (*cols, "label")] for r in data.collect()])
+    for c in (0.01, 1.0, 1e6):  # separable classes: without much penalty the weights grow large
+        line = fitted_line(data.repartition(7).withColumn("_p", F.lit("clash")).drop("_p"), cols, c)
+        want = plain_logistic(rows[:, :3], rows[:, 3], c) if c < 1e6 else None
+        if want is not None:
+            assert [line.intercept, *line.weights] == pytest.approx(list(want), rel=1e-6, abs=1e-7)
+            assert line.steps < 30
+        slopes = logistic.gradient(data, line, c=c).collect()
+        assert [r["term"] for r in slopes] == ["intercept", *cols] and all(abs(r["gradient"]) < 1e-8 for r in slopes)
+    skewed = data.unionAll(data.filter("label = 1").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("copy"))
+    again = np.array([[r[c] for c in (*cols, "label")] for r in skewed.collect()])
+    assert [fitted_line(skewed, cols).intercept] == pytest.approx([plain_logistic(again[:, :3], again[:, 3])[0]], rel=1e-6)
+    model = supervised.fit_classifier(data, "lr", cols)
+    model.write().overwrite().save(str(tmp_path / "lr"))
+    loaded = supervised.score(PipelineModel.load(str(tmp_path / "lr")), data)
+    assert loaded.columns == [*data.columns, "conversion_score", "prediction"]
+    assert loaded.exceptAll(supervised.score(model, data)).count() == 0
+
+
+def test_logistic_on_odd_tables(spark, data):
+    flat = data.withColumn("b", F.lit(2.0))
+    line = fitted_line(flat, ["a", "b"])
+    assert line.weights[1] == 0.0 and line.weights[0] > 0
+    empty = fitted_line(data.limit(0), ["a", "b"])
+    assert (empty.intercept, empty.weights) == (0.0, [0.0, 0.0])
+    one = supervised.score(supervised.fit_classifier(data.filter("label = 1"), "lr", ["a"]), data)
+    assert one.filter("conversion_score < 0.999 OR prediction = 0").count() == 0
+    for bad in (None, float("nan"), float("inf")):
+        broken = data.withColumn("a", F.when(F.col("client_id") == "C-00003", F.lit(bad)).otherwise(F.col("a")))
+        with pytest.raises(ValueError, match="known, finite"):
+            logistic.fit(broken, ["a"], {"a": (0.0, 1.0)})
