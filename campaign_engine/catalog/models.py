@@ -7,6 +7,7 @@ held-out row. Forests, folds, draws and feature sets are whole.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,6 +154,17 @@ def _kmeans(spark, sf_dir):
     return rows.select(ID_COL, *BEHAVIOUR_COLS, "cluster")
 
 
+@query("kmeans_nearest", with_tables("SELECT client_id, TRUE AS at_nearest FROM cleaned", start="cleaned"))
+def _kmeans_nearest(spark, sf_dir):
+    """Whether each row's cluster is the one whose rows have the nearest mean, all worked out from the rows."""
+    _, rows = cluster.fit_kmeans(_behaviour(spark, sf_dir), BEHAVIOUR_COLS, 3)
+    entries = rows.select("cluster", F.posexplode(vector_to_array("features")))
+    means = entries.groupBy("cluster", "pos").agg(F.avg("col").alias("mean")).orderBy("cluster", "pos").collect()  # clusters x columns
+    centres = np.array([r["mean"] for r in means]).reshape(-1, len(BEHAVIOUR_COLS))
+    nearest = cluster.Centres(centres, 0.0, 0).transform(rows)
+    return nearest.select(ID_COL, (F.col("_cluster") == F.col("cluster")).alias("at_nearest"))
+
+
 @query("elbow")
 def _elbow(spark, sf_dir):
     return cluster.elbow(_behaviour(spark, sf_dir), BEHAVIOUR_COLS)
@@ -270,10 +282,12 @@ def _silhouette(spark, sf_dir):
 @query("kmeans_embeddings")
 def _kmeans_embeddings(spark, sf_dir):
     """Segments of the vector table."""
-    vectors = table(spark, sf_dir, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    vectors = table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull()).select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    )
     vectors = vectors.persist()
     try:
-        model = cluster.best_kmeans(vectors, 5, SEED, 10)
+        model = cluster.best_kmeans(vectors, 5, SEED, 10, "vec_id")
     finally:
         vectors.unpersist()
     return cluster.cluster_sizes(model.transform(vectors), "_cluster").withColumnRenamed("_cluster", "cluster")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.sql import DataFrame
@@ -13,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from campaign_engine.functions.numeric import round_places
 from campaign_engine.operators.columns import minmax_scale, with_share
+from campaign_engine.operators.lloyd import Centres, cluster_all
 from campaign_engine.operators.prep import assemble, standardize
 from campaign_engine.schemas import ID_COL, SEED
 from campaign_engine.session import in_parallel
@@ -27,31 +27,28 @@ def scaled_vectors(df: DataFrame, cols: Sequence[str], key: str = ID_COL) -> Dat
     return assemble(scaled, [f"_z_{c}" for c in cols]).drop(*[f"_z_{c}" for c in cols])
 
 
-def best_kmeans(vectors: DataFrame, k: int, seed: int = SEED, n_init: int = 10) -> KMeansModel:
-    """The start with the lowest cost out of ``n_init`` seeds; keep ``vectors`` persisted."""
-
-    def start(i: int):
-        return lambda: KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="_cluster").fit(vectors)
-
-    models = in_parallel([start(i) for i in range(n_init)])
-    return min(models, key=lambda m: m.summary.trainingCost)
+def best_kmeans(vectors: DataFrame, k: int, seed: int = SEED, n_init: int = 10, key: str = ID_COL) -> Centres:
+    """The start with the lowest cost out of ``n_init`` seeds, all in the same passes; keep ``vectors`` persisted."""
+    return cluster_all(vectors, [k], seed, n_init, key)[k]
 
 
 def renumber(df: DataFrame, raw: str = "_cluster", order: str = ORDER_BY, name: str = "cluster") -> DataFrame:
     """Number clusters from 0 by the mean of a column, highest first, so that the numbers do not depend on the start."""
     means = df.groupBy(raw).agg(F.avg(order).alias("m")).collect()  # one row per cluster
     ranked = sorted(means, key=lambda r: (-(r["m"] if r["m"] is not None else float("-inf")), r[raw]))
+    if not ranked:
+        return df.withColumn(name, F.lit(None).cast("int")).drop(raw)
     mapping = F.create_map(*[F.lit(x) for i, r in enumerate(ranked) for x in (r[raw], i)])
     return df.withColumn(name, F.try_element_at(mapping, F.col(raw))).drop(raw)
 
 
 def fit_kmeans(
     df: DataFrame, cols: Sequence[str], k: int = 3, seed: int = SEED, n_init: int = 10, key: str = ID_COL
-) -> tuple[KMeansModel, DataFrame]:
+) -> tuple[Centres, DataFrame]:
     """(model, rows with ``features`` and ``cluster``)."""
     vectors = scaled_vectors(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = best_kmeans(vectors, k, seed, n_init)
+        model = best_kmeans(vectors, k, seed, n_init, key)
         order = ORDER_BY if ORDER_BY in cols else cols[0]
         return model, renumber(model.transform(vectors), order=order)
     finally:
@@ -66,14 +63,14 @@ def silhouette(vectors: DataFrame, label: str = "cluster") -> float:
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED,
           n_init: int = 10, key: str = ID_COL) -> DataFrame:
-    """(k, inertia, silhouette) for each k; the vectors are scaled and kept once."""
+    """(k, inertia, silhouette) for each k; the vectors are scaled and kept once, all k share their passes."""
     vectors = scaled_vectors(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        models = cluster_all(vectors, ks, seed, n_init, key)
 
         def one(k: int):
             def run() -> tuple[int, float, float]:
-                model = best_kmeans(vectors, k, seed, n_init)
-                return k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors), "_cluster"))
+                return k, models[k].cost, float(silhouette(models[k].transform(vectors), "_cluster"))
 
             return run
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from campaign_engine.operators import cluster, logistic, metrics, prep, supervised, tune
+from campaign_engine.operators import cluster, lloyd, logistic, metrics, prep, supervised, tune
 from campaign_engine.operators.features import ENGINEERED_COLS, add_engineered_features, screening_sets, search_sets
 from campaign_engine.plans.training import campaign_scores, train_regressors
 from campaign_engine.schemas import NUMERIC_COLS
@@ -299,3 +299,49 @@ def test_logistic_on_odd_tables(spark, data):
         broken = data.withColumn("a", F.when(F.col("client_id") == "C-00003", F.lit(bad)).otherwise(F.col("a")))
         with pytest.raises(ValueError, match="known, finite"):
             logistic.fit(broken, ["a"], {"a": (0.0, 1.0)})
+
+
+def vectors_of(spark, x, parts=3):
+    rows = [(f"C-{i:05d}", *map(float, v)) for i, v in enumerate(x)]
+    names = ["client_id", *[f"x{j}" for j in range(len(x[0]))]]
+    return prep.assemble(spark.createDataFrame(rows, names).repartition(parts), names[1:])
+
+
+def test_shared_starts_equal_plain_lloyd(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(m, 0.6, (60, 2)) for m in ((0, 0), (3, 0), (0, 3))] + [np.full((200, 2), 3.0)])  # one hot vector
+    vectors = vectors_of(spark, x).persist()
+    sample = np.array([r["features"].toArray() for r in prep.fit_sample(vectors, "client_id", 5_000).collect()])
+
+    def plain(k, seed):
+        c = lloyd.first_centres(sample, k, seed)
+        for _ in range(300):
+            near = ((x[:, None] - c) ** 2).sum(-1).argmin(1)
+            c = np.array([x[near == j].mean(0) if (near == j).any() else c[j] for j in range(k)])
+        return ((x[:, None] - c) ** 2).sum(-1).min(1).sum(), c
+
+    passes = []
+    real = lloyd._pass
+    monkeypatch.setattr(lloyd, "_pass", lambda rows, sets: passes.append(len(sets)) or real(rows, sets))
+    found = lloyd.cluster_all(vectors, [2, 4], 5, 6, "client_id")
+    assert passes[0] == 12 and sorted(passes[: passes.index(2)], reverse=True) == passes[: passes.index(2)]
+    for k in (2, 4):
+        best = min((plain(k, 5 + i) for i in range(6)), key=lambda r: r[0])
+        assert found[k].cost == pytest.approx(best[0], rel=1e-3)
+        labels = np.array([r["_cluster"] for r in found[k].transform(vectors).orderBy("client_id").collect()])
+        means = np.array([x[labels == j].mean(0) for j in range(k)])
+        assert means == pytest.approx(found[k].centres, abs=1e-8)
+        assert (((x[:, None] - means) ** 2).sum(-1).argmin(1) == labels).all()
+        assert found[k].cost == pytest.approx(((x - means[labels]) ** 2).sum())
+    other = lloyd.cluster_all(vectors.repartition(7), [2, 4], 5, 6, "client_id")
+    assert all(other[k].centres == pytest.approx(found[k].centres, abs=1e-8) for k in (2, 4))
+
+
+def test_clusters_of_odd_tables(spark):
+    vectors = vectors_of(spark, np.repeat([[1.0, 2.0], [5.0, 5.0]], 10, axis=0))
+    found = lloyd.cluster_all(vectors, [4], 1, 2, "client_id")[4]
+    assert found.cost == 0.0 and found.transform(vectors).select("_cluster").distinct().count() == 2
+    assert lloyd.cluster_all(vectors.limit(0), [3], 1, 2, "client_id")[3].transform(vectors).filter("_cluster IS NOT NULL").count() == 0
+    names = "client_id string, last_3_month_purchase_freq double, x double"
+    _, out = cluster.fit_kmeans(spark.createDataFrame([("C-1", None, 1.0)], names), ["last_3_month_purchase_freq", "x"], 3)
+    assert out.count() == 0 and "cluster" in out.columns
