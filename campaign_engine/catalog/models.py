@@ -279,6 +279,28 @@ def _silhouette(spark, sf_dir):
     return spark.createDataFrame([(round(value * 1e9) / 1e9,)], "silhouette double")
 
 
+def _euclidean_sql() -> str:
+    """The same sample against all rows, pair by pair."""
+    gap = "sqrt(" + " + ".join(f"(q.{c} - p.{c}) ** 2" for c in _SIL) + ")"
+    value = "CASE WHEN n_own = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END"
+    return with_tables(
+        f"SELECT {rnd(f'avg({value})', 8)} AS silhouette, "
+        + rnd(f"stddev_samp({value}) / sqrt(count(*)) * sqrt(greatest(0, 1 - count(*) / (SELECT count(*) FROM p)))", 8)
+        + " AS error, count(*) AS n_sampled, (SELECT count(*) FROM p) AS n FROM (SELECT client_id, max(n) FILTER (WHERE mine) AS n_own, "
+        "max(total / (n - 1)) FILTER (WHERE mine) AS a, min(total / n) FILTER (WHERE NOT mine) AS b FROM (SELECT q.client_id, "
+        f"q.grp = p.grp AS mine, count(*) AS n, sum({gap}) AS total FROM q, p GROUP BY q.client_id, q.grp, p.grp) GROUP BY client_id)",
+        "p AS (SELECT client_id, payment_method AS grp, " + ", ".join(_SIL) + " FROM client_profile WHERE payment_method IS NOT NULL)",
+        f"q AS (SELECT * FROM p ORDER BY {_HASH}, client_id LIMIT 1000)",
+    )
+
+
+@query("silhouette_euclidean", _euclidean_sql())
+def _silhouette_euclidean(spark, sf_dir):
+    """A sample of 1,000 rows is the operator's own, with its standard error; every row is compared with it."""
+    df = profile(spark, sf_dir).select(ID_COL, F.col("payment_method").alias("cluster"), *_SIL)
+    return round_cols(cluster.silhouette_euclidean(prep.assemble(df, _SIL)), ["silhouette", "error"], 8)
+
+
 @query("kmeans_embeddings")
 def _kmeans_embeddings(spark, sf_dir):
     """Segments of the vector table."""

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -13,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from campaign_engine.functions.numeric import round_places
 from campaign_engine.operators.columns import minmax_scale, with_share
 from campaign_engine.operators.lloyd import Centres, cluster_all
-from campaign_engine.operators.prep import assemble, standardize
+from campaign_engine.operators.prep import assemble, fit_sample, standardize
 from campaign_engine.schemas import ID_COL, SEED
 from campaign_engine.session import in_parallel
 
@@ -61,6 +64,68 @@ def silhouette(vectors: DataFrame, label: str = "cluster") -> float:
     return ClusteringEvaluator(predictionCol=label, featuresCol="features").evaluate(known)
 
 
+_ROWS_AT_ONCE = 1_000  # rows of a batch whose distances to the sample are held together
+
+
+def silhouette_euclidean(
+    vectors: DataFrame, label: str = "cluster", key: str = ID_COL, sample_rows: int = 1_000, seed: int = SEED
+) -> DataFrame:
+    """(silhouette, error, n_sampled, n): mean silhouette with plain Euclidean distances and its standard error.
+
+    The plain form needs the distances of all pairs. Here ``sample_rows`` rows, those with the smallest hash of the key, are
+    compared with every row: linear in the rows, and each task returns sample x clusters sums. The error is that of a mean
+    over a sample without replacement, 0 where the sample is the whole table. Rows without a label take no part; a row alone
+    in its cluster counts 0; without two clusters the result is null.
+    """
+    known = vectors.filter(F.col(label).isNotNull()).withColumn("x", vector_to_array("features"))
+    sizes = {r[label]: r["count"] for r in known.groupBy(label).count().collect()}  # one row per cluster
+    place = {c: i for i, c in enumerate(sorted(sizes))}
+    drawn = fit_sample(known.select(key, label, "x"), key, sample_rows, seed).collect()  # bounded by sample_rows
+    asked = np.array([r["x"] for r in drawn], dtype=float)
+
+    def tasks(batches):
+        total = np.zeros((len(asked), len(place)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            own = np.array([place[c] for c in batch.column(1).to_pylist()])
+            for at in range(0, len(x), _ROWS_AT_ONCE):
+                part, mine = x[at : at + _ROWS_AT_ONCE], own[at : at + _ROWS_AT_ONCE]
+                squares = np.zeros((len(asked), len(part)))
+                for j in range(asked.shape[1]):
+                    squares += (asked[:, j : j + 1] - part[:, j]) ** 2
+                gaps = np.sqrt(squares)
+                for c in range(len(place)):
+                    total[:, c] += gaps[:, mine == c].sum(1)
+        q, c = np.indices(total.shape)
+        arrays = [pa.array(q.ravel(), pa.int32()), pa.array(c.ravel(), pa.int32()), pa.array(total.ravel())]
+        yield pa.RecordBatch.from_arrays(arrays, ["query", "other", "total"])
+
+    n = sum(sizes.values())
+    spark = vectors.sparkSession
+    sums = known.select("x", label).mapInArrow(tasks, "query int, other int, total double")
+    sums = sums.groupBy("query", "other").agg(F.sum("total").alias("total"))
+    counts = spark.createDataFrame([(place[c], m) for c, m in sizes.items()], "other int, rows long")
+    mine = spark.createDataFrame([(i, place[r[label]]) for i, r in enumerate(drawn)], "query int, own int")
+    joined = sums.join(F.broadcast(counts), "other").join(F.broadcast(mine), "query")  # clusters and sample: both bounded
+    same = F.col("other") == F.col("own")
+    each = joined.groupBy("query").agg(
+        F.max(F.when(same, F.col("rows"))).alias("n_own"),
+        F.max(F.when(same & (F.col("rows") > 1), F.col("total") / (F.col("rows") - 1))).alias("a"),
+        F.min(F.when(~same, F.col("total") / F.col("rows"))).alias("b"),
+    )
+    largest = F.greatest("a", "b")
+    value = F.when(F.col("b").isNull(), None).when((F.col("n_own") == 1) | (largest == 0), 0.0).otherwise((F.col("b") - F.col("a")) / largest)
+    rest = float(np.sqrt(max(0.0, 1 - len(drawn) / n))) if n else 0.0
+    return each.agg(
+        F.avg(value).alias("silhouette"),
+        (F.stddev_samp(value) / F.sqrt(F.count("*")) * rest).alias("error"),
+        F.count("*").alias("n_sampled"),
+        F.lit(n).cast("long").alias("n"),
+    )
+
+
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED,
           n_init: int = 10, key: str = ID_COL) -> DataFrame:
     """(k, inertia, silhouette) for each k; the vectors are scaled and kept once, all k share their passes."""

@@ -345,3 +345,26 @@ def test_clusters_of_odd_tables(spark):
     names = "client_id string, last_3_month_purchase_freq double, x double"
     _, out = cluster.fit_kmeans(spark.createDataFrame([("C-1", None, 1.0)], names), ["last_3_month_purchase_freq", "x"], 3)
     assert out.count() == 0 and "cluster" in out.columns
+
+
+def test_plain_silhouette_is_exact_on_small_tables_and_near_on_samples(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(m, 1.0, (150, 2)) for m in ((0, 0), (4, 0))] + [np.array([[9.0, 9.0]])])
+    label = F.when(F.col("x0") > 8, "alone").when(F.col("x0") > 2, "right").otherwise("left")
+    vectors = vectors_of(spark, x).withColumn("cluster", label)
+    y = np.where(x[:, 0] > 8, 2, np.where(x[:, 0] > 2, 1, 0))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    s = []
+    for i in range(len(x)):
+        n_own = (y == y[i]).sum()
+        own = d[i][y == y[i]].sum() / max(n_own - 1, 1)
+        other = min(d[i][y == c].mean() for c in set(y) - {y[i]})
+        s.append(0.0 if n_own == 1 else (other - own) / max(own, other))
+    whole = cluster.silhouette_euclidean(vectors).first()
+    assert whole["silhouette"] == pytest.approx(np.mean(s)) and whole["error"] == 0.0 and whole["n_sampled"] == 301
+    part = cluster.silhouette_euclidean(vectors, sample_rows=100).first()
+    assert part["n_sampled"] == 100 and 0 < part["error"] and abs(part["silhouette"] - np.mean(s)) < 4 * part["error"]
+    single = cluster.silhouette_euclidean(vectors.filter("cluster = 'left'")).first()
+    assert single["silhouette"] is None and single["n"] == (y == 0).sum()
+    nothing = cluster.silhouette_euclidean(vectors.withColumn("cluster", F.lit(None).cast("string"))).first()
+    assert nothing["silhouette"] is None and nothing["n"] == 0
