@@ -32,6 +32,8 @@ HEADLINES = [
     "cv_folds",
     "silhouette",
     "kmeans",
+    "elbow",
+    "lr_classifier",
     "rf_classifier",
     "campaign_scores",
     "random_search_light",
