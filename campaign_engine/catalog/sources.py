@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from campaign_engine.catalog.base import profile, query, with_tables
 from campaign_engine.catalog.cleaning import cleaned
-from campaign_engine.plans import cleaning
+from campaign_engine.plans import cleaning, refresh
 from campaign_engine.schemas import CAT_COLS, NUMERIC_COLS
 from campaign_engine.session import ensure_checkpoint_dir
 from campaign_engine.sources import side_tables, tables
@@ -89,6 +89,19 @@ def _materialize(spark, sf_dir):
     return tables.read_clean(spark, places["clean"])
 
 
+@query("refresh_clean", with_tables("SELECT * FROM cleaned", start="cleaned"))
+def _refresh_clean(spark, sf_dir):
+    """Three quarters of the raw rows first, the others as files that are added later."""
+    path = scratch(spark, "refresh")
+    raw = profile(spark, sf_dir)
+    late = F.pmod(F.xxhash64("client_id"), F.lit(4)) == 0
+    raw.filter(~late).write.parquet(f"{path}/raw")
+    refresh.refresh(spark, f"{path}/raw", f"{path}/table")
+    raw.filter(late).write.mode("append").parquet(f"{path}/raw")
+    refresh.refresh(spark, f"{path}/raw", f"{path}/table")
+    return refresh.current(spark, f"{path}/table")
+
+
 def _dictionary(spark, sf_dir):
     """One JSON object per document, as dictionary files hold them; some have a value that is no text or a
     key with two parts only."""
