@@ -6,9 +6,10 @@ search: the block of the last two words looks up how far the search may move on
 where it is zero, the hash of the window's last words selects the test strings of a bucket, and those are compared
 word by word. Words are numbered by the vocabulary of the items, so equal numbers are equal words.
 
-Many stretches of the documents are searched side by side in numpy. The items are broadcast in blocks of at most
-``block_bytes`` of text; documents are read once for each block and the hits of all blocks are united per document, so
-any number of items can be used. Null texts and items have no words. Items without an id hit words, but aren't listed.
+Many stretches of the documents are searched side by side in numpy. The items are broadcast in blocks of at most about
+``block_bytes`` of text. More than one block are searched one after another, each in a job of its own that leaves the
+hits of the rows that have some; so the driver and every worker hold one block at a time, however many items there
+are. The hits of all blocks are then united per row and joined to the rows by their place in a stored copy. Null texts and items have no words. Items without an id hit words, but aren't listed.
 Rows that repeat an id are separate documents; an item id that repeats is one item with all the windows of its rows.
 """
 
@@ -16,14 +17,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaign_engine.llm.shared import ship, slices
+from campaign_engine.llm.shared import ship, slices, stored
 
 BLOCK_BYTES = 1 << 24
 STRETCH = 512  # places that one cursor searches
@@ -159,7 +162,7 @@ def _blocks(items: DataFrame, item_col: str, text_col: str, block_bytes: int) ->
     return [rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == p) for p in range(parts)]
 
 
-def scanned(texts: Column, block: DataFrame, width: int) -> Column:
+def scanned(texts: Column, block: DataFrame, width: int) -> tuple[Column, Broadcast]:
     """What ``Items.scan`` finds of a block of items (collected here, of bounded size) in a text column."""
     search = block.sparkSession.sparkContext.broadcast([(r["item"], r["text"]) for r in block.collect()])
 
@@ -169,7 +172,7 @@ def scanned(texts: Column, block: DataFrame, width: int) -> Column:
             parts = [items.scan(s) for s in slices(batch, 1 << 23)]
             yield pa.concat_arrays(parts) if parts else items.scan(batch.cast(pa.large_string()))
 
-    return F.arrow_udf(scan, _RESULT)(texts)
+    return F.arrow_udf(scan, _RESULT)(texts), search
 
 
 def _united(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -195,10 +198,22 @@ def found(
 ) -> DataFrame:
     """``docs`` with a column ``result``: struct of n_words, hits (ranges of hit words) and items (their ids, sorted)."""
     ship(docs.sparkSession)
-    parts = [scanned(F.col(text_col), block, width) for block in _blocks(items, item_col, item_text_col, block_bytes)]
-    if len(parts) == 1:
-        return docs.withColumn(result, parts[0])
-    return docs.withColumn(result, F.arrow_udf(_united, _RESULT)(F.array(*parts)))
+    blocks = _blocks(items, item_col, item_text_col, block_bytes)
+    if len(blocks) == 1:
+        return docs.withColumn(result, scanned(F.col(text_col), blocks[0], width)[0])
+    key = "own_row"
+    while key in docs.columns:
+        key += "_"
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()))
+    each = []
+    for i, block in enumerate(blocks):
+        scan, sent = scanned(F.col(text_col), block, width)
+        hits = rows.select(F.col(key).alias("own_key"), scan.alias("hit"))
+        each.append(stored(hits if i == 0 else hits.filter(F.size("hit.hits") > 0)))  # the first one has every row's words
+        sent.destroy()
+    lists = reduce(DataFrame.unionByName, each).groupBy("own_key").agg(F.collect_list("hit").alias("hits"))
+    united = lists.select("own_key", F.arrow_udf(_united, _RESULT)("hits").alias(result))
+    return rows.join(united, F.col(key) == F.col("own_key")).select(*docs.columns, result)
 
 
 def n_hit(result: str) -> Column:

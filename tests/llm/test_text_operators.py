@@ -159,3 +159,33 @@ def test_blocks_and_hot_keys_lose_no_links(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.groups(
         spark.createDataFrame(docs, "doc_id long, text string"), shingle=2).collect()}
     assert got == brute.near_groups(docs, 2)
+
+
+def test_benchmark_blocks_are_held_one_at_a_time(spark, sf_dir, monkeypatch):
+    """From 1 to some 50 blocks the same rows; each job searches one block, of bounded text, which is dropped after it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("own_row", F.lit("kept"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    plain, write = decontaminate.scanned, decontaminate.stored
+    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0]
+    live, sizes, searched = [], [], []
+
+    def scanned(texts, block, width):
+        sizes.append(block.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+        scan, sent = plain(texts, block, width)
+        live.append(sent)
+        return scan, sent
+
+    def stored(df):
+        out = write(df)
+        searched.append(df._jdf.queryExecution().analyzed().toString().count("scan(text"))
+        return out
+
+    monkeypatch.setattr(decontaminate, "scanned", scanned)
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    want = decontaminate.found(docs, items).select("doc_id", "own_row", "found").collect()
+    assert len(sizes) == 1 and not searched
+    got = decontaminate.found(docs, items, block_bytes=size // 25)
+    assert len(sizes) > 50 and max(sizes[1:]) < size // 8 and searched == [0] + [1] * (len(sizes) - 1)
+    assert got.columns == [*docs.columns, "found"]
+    assert sorted(map(str, got.select("doc_id", "own_row", "found").collect())) == sorted(map(str, want))
+    assert all(b._jbroadcast.isValid() is False for b in live[1:])
