@@ -116,6 +116,64 @@ def test_search_blocks_ties_and_odd_vectors(spark, monkeypatch):
         neighbours.nearest(frame.unionByName(spark.createDataFrame([(9, [1.0], 1, 1)], frame.schema)), queries)
 
 
+def test_search_of_vectors_of_very_different_lengths(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHELL", 30)
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((600, 8)).round(2)
+    vectors[:100] *= 1 / 64
+    vectors[7] *= 1e6
+    rows = [(i, (v.round(6)).tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = plain_nearest(rows, 5)
+    got = {}
+    for r in neighbours.nearest(frame, frame.filter("vec_id % 20 = 0"), k=5, slack=100).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    assert {q: [(f[1], f[2]) for f in sorted(v)] for q, v in got.items()} == {q: [(-s, j) for s, j in v] for q, v in want.items()}
+    few = 0
+    for r in neighbours.nearest(frame, frame.filter("vec_id % 20 = 0"), k=5).collect():
+        few += r["vec_id"] in {j for _, j in want[r["query_id"]]}
+    assert few / (5 * len(want)) >= 0.9
+
+
+def test_search_copies_queries_not_vectors(spark, monkeypatch):
+    """With as many index blocks as tasks, every vector is shuffled once."""
+    monkeypatch.setattr(neighbours, "INDEX_BLOCK", 20)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(1000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    copies = []
+    plain = neighbours.F.sequence
+    monkeypatch.setattr(neighbours.F, "sequence", lambda a, b: copies.append(b._jc.toString()) or plain(a, b))
+    assert neighbours.nearest(frame, frame.filter("vec_id % 20 = 0"), k=3).count() == 150
+    assert copies == ["0", "49"]  # of each vector one, of each query one for each of 50 blocks
+
+
+def test_learner_equals_a_plain_version_on_real_texts(spark):
+    """Weights and scores of both models, from a feature list in Python and a learner on dictionaries."""
+    import pyarrow as pa
+
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").join(spark.read.parquet(f"{BIG}/labels.parquet"), "doc_id")
+    rows = docs.filter("length(text) < 3000").orderBy("doc_id").limit(150).collect()
+    texts = [r["text"] or "" for r in rows] + ["", "ß ß Ünï!! !! a", "x\ty\nz " * 3]
+    for model, label in ((toxicity.MODEL, "toxic"), (quality.MODEL, "quality")):
+        model = ftrl.Model(**{**model.__dict__, "l1": 0.3})
+        want = [brute.features(t, model) for t in texts]
+        got = [dict(zip(i.tolist(), v.tolist())) for i, v in ftrl.features(pa.array(texts, pa.large_string()), model)]
+        assert [set(g) for g in got] == [set(w) for w in want]
+        assert all(g[i] == pytest.approx(w[i], abs=1e-12) for g, w in zip(got, want) for i in w)
+        labels = [int(r[label]) for r in rows] + [0, 1, 0]
+        plain = brute.ftrl(list(zip(want, labels)), model)
+        lists = [(np.array(list(g)), np.array(list(g.values())), y) for g, y in zip(got, labels)]
+        index, weight = ftrl.learnt([(i[np.r_[np.flatnonzero(i), np.flatnonzero(i == 0)]], v[np.r_[np.flatnonzero(i), np.flatnonzero(i == 0)]], y) for i, v, y in lists], model)
+        assert set(index.tolist()) == set(plain) and len(plain) > 20
+        assert all(w == pytest.approx(plain[i], abs=1e-9) for i, w in zip(index.tolist(), weight.tolist()))
+        frame = spark.createDataFrame([(t,) for t in texts], "text string")
+        scores = [r[0] for r in frame.select(ftrl.score(F.col("text"), list(zip(index.tolist(), weight.tolist())), model, frame)).collect()]
+        expect = [1 / (1 + np.exp(-sum(plain.get(i, 0.0) * v for i, v in w.items()))) for w in want]
+        assert scores == pytest.approx(expect, abs=1e-5)
+
+
 def test_snapshots_collapse(spark):
     turns = [("user", "hi"), ("bot", "hello"), ("user", None), ("user", "")]
     rows = [(1, t, *turns[t]) for t in range(2)] + [(2, t, *turns[t]) for t in range(3)] + [(3, t + 5, *turns[t]) for t in range(3)]
