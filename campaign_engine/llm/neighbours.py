@@ -203,7 +203,7 @@ def nearest(
                         names=["query_id", "id", "score"],
                     )
 
-    dealt = rows.repartition(index_blocks * query_blocks, "task").sortWithinPartitions("task", "query", "id").select("task", "query", "id", "v")
+    dealt = rows.repartitionById(index_blocks * query_blocks, F.col("task")).sortWithinPartitions("task", "query", "id").select("task", "query", "id", "v")
     near = dealt.mapInArrow(search, "query_id long, id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return near.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
