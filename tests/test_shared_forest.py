@@ -206,3 +206,64 @@ def test_null_values_few_values_and_no_rows(spark):
     assert shared_forest.held_out_scores(data, job).count() == 181
     empty = shared_forest.Binned(frame.limit(0), ["a", "b"], "k", "label", "fold")
     assert shared_forest.held_out_scores(empty, job).collect() == []
+
+
+def test_rows_go_to_shares_of_trees_and_not_to_each_tree(rows):
+    data = shared_forest.Binned(rows, COLS, "client_id", "label", "fold")
+    try:
+        many = [shared_forest.Job(*growth_of({"n_estimators": 200, "max_depth": d}, range(4)), (0, 1, 2)) for d in (2, 3, 4)]
+        pieces = shared_forest._local_pieces(data, many, 1, shared_forest.BLOCK, 2).toPandas()
+        shares = shared_forest.TASKS * 2
+        assert len(pieces) <= 3 * (3 + shares)  # a row for each job and fold, and for each share that ends inside of one
+        assert (pieces.groupby(["job", "fold"]).trees.sum() == 200).all()
+        assert all(len(b) == 8 * n for b, n in zip(pieces.total, pieces.fold.map({f: sum(i % 3 == f for i in range(700)) for f in range(3)})))
+    finally:
+        data.unpersist()
+
+
+def test_shares_hold_each_tree_once():
+    growths = [Growth((0, 1, 2), 1), Growth((0, 1, 2), 3)]
+    wanted = [shared_forest._Wanted(g, f, trees, ()) for g, trees in ((0, 100), (1, 7)) for f in range(3)]
+    shares = shared_forest._shares(wanted, growths, 16)
+    found = sorted((i, t) for s in shares for i, first, end in s for t in range(first, end))
+    assert found == [(i, t) for i, w in enumerate(wanted) for t in range(w.trees)]
+    work = [sum((end - first) * (growths[wanted[i].growth].tried + 1) for i, first, end in s) for s in shares]
+    assert max(work) - min(work) <= 8
+
+
+def test_growing_ends_where_no_cut_goes():
+    x, y, h = table(400, 4, 6)
+    growth = Growth((0, 1, 2, 3), 2)
+    weights, roots = growth.weights(h, np.array([5]), 3), growth.roots(np.array([5]), 3)
+    whole, cuts = grow(x, y, weights, roots, growth), [Cut(4, 10), Cut(3, 20, 0.002)]
+    short = grow(x, y, weights, roots, growth, **shared_forest._reach(cuts))
+    assert len(short.feature) < len(whole.feature) and short.depth.max() <= 4
+    for cut in cuts:
+        values = [cut_values(t, cut, "gini")[leaves(t.feature, t.bin, t.left, np.array([0]), x)[0]] for t in (whole, short)]
+        assert values[0] == pytest.approx(values[1])
+
+
+@pytest.mark.parametrize("criterion,weight", [("gini", "balanced"), ("entropy", None), ("squares", None)])
+def test_counted_bins_and_sorted_rows_give_one_tree(monkeypatch, criterion, weight):
+    from campaign_engine.operators import tree_growth
+
+    x, y, h = table(600, 4, 2, 40)
+    y = y + x[:, 2] if criterion == "squares" else y
+    growth, found = Growth((0, 1, 2, 3), 3, 2, criterion, weight), []
+    for rows_a_node in (0, 10**9):
+        monkeypatch.setattr(tree_growth, "_FEW_ROWS", rows_a_node)
+        found.append(one_tree(x, y, h, growth)[0])
+    for name in ("feature", "bin", "left", "rows", "w", "s"):
+        assert getattr(found[0], name) == pytest.approx(getattr(found[1], name))
+
+
+def test_ranking_in_a_task_is_that_of_the_metrics(rows):
+    data = shared_forest.Binned(rows, COLS, "client_id", "label", "fold")
+    try:
+        scores = shared_forest.held_out_scores(data, jobs()).persist()
+        want = {(r["job"], r["fold"]): tuple(r)[2:] for r in metrics.ranking_metrics_by(scores, ["job", "fold"], "y", "score").collect()}
+        got = {(r["job"], r["fold"]): tuple(r)[2:] for r in shared_forest.held_out_ranking(data, jobs()).collect()}
+    finally:
+        data.unpersist()
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert shared_forest.ranking(np.ones(3), np.arange(3.0)) == (None, 1.0) and shared_forest.ranking(np.zeros(2), np.zeros(2)) == (None, None)
