@@ -531,8 +531,7 @@ def _model_reports(spark, sf_dir):
 def _training_job(spark, sf_dir):
     """All steps: models (fitted on ``FIT_ROWS`` rows), metrics, reports and scores of all rows are written; the metrics
     are read back."""
-    clean = clean_table(spark, sf_dir)
-    codes, _ = cleaning.encoded(clean)
+    clean, codes = training_tables(spark, sf_dir)
     path = scratch(spark, "training-job")
     training.train(clean, codes, fit_rows=FIT_ROWS).write(path)
     return spark.read.parquet(f"{path}/metrics")

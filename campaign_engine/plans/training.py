@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import percentile_rank
@@ -45,9 +46,14 @@ class Training:
     scores: DataFrame
 
     def write(self, path: str) -> None:
+        """Write all parts; the held-out rows, which metrics and reports read several times, are scored once for them."""
         self.model.save(f"{path}/model")
-        self.metrics.write.mode("overwrite").parquet(f"{path}/metrics")
-        self.reports.write.mode("overwrite").parquet(f"{path}/reports")
+        self.held_out.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.metrics.write.mode("overwrite").parquet(f"{path}/metrics")
+            self.reports.write.mode("overwrite").parquet(f"{path}/reports")
+        finally:
+            self.held_out.unpersist()
         self.scores.write.mode("overwrite").parquet(f"{path}/campaign_scores")
 
 
@@ -131,8 +137,11 @@ def campaign_scores(model: ConversionModel, coded: DataFrame, clean: DataFrame,
 
 def train(clean: DataFrame, coded: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED,
           fit_rows: int | None = None) -> Training:
-    """The whole job; forests learn all labelled rows of the training part or ``fit_rows`` of them."""
-    data = labelled(coded, clean)
+    """The whole job; forests learn all labelled rows of the training part or ``fit_rows`` of them.
+
+    A coded table that has its ``label`` already, as a stored one, is taken as it is.
+    """
+    data = coded if "label" in coded.columns else labelled(coded, clean)
     model, held_out = train_classifiers(data, settings, seed, fit_rows)
     reports = stack_tagged(
         {n: metrics.class_report(held_out.filter(F.col("model") == n), "label", "prediction") for n in settings}, "model"
