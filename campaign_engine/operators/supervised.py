@@ -141,9 +141,9 @@ def cross_val(
     key: str = ID_COL,
     label: str = "label",
     seed: int = SEED,
-    width: int = 4,
+    width: int = 8,
 ) -> DataFrame:
-    """(fold, accuracy) of each held-out fold; keep ``df`` persisted."""
+    """(fold, accuracy) of each held-out fold, up to ``width`` of them side by side; keep ``df`` persisted."""
     folds = with_fold(df, key, k, seed, label)
 
     def one(i: int) -> Callable[[], tuple[int, float]]:
