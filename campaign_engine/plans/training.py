@@ -24,7 +24,7 @@ from campaign_engine.operators.supervised import (
 )
 from campaign_engine.operators.tree_growth import growth_of
 from campaign_engine.schemas import CAMPAIGN_COLS, CAT_COLS, ID_COL, POSITIVE_CLASS, SEED, TARGET_COL
-from campaign_engine.session import in_parallel
+from campaign_engine.session import ensure_checkpoint_dir, in_parallel
 
 # The two classifiers and regressors with their settings.
 CLASSIFIERS = {"Random Forest": ("rf", {"n_estimators": 120}), "Regresión Logística": ("lr", {"max_iter": 600})}
@@ -127,12 +127,16 @@ def train_regressors(
 
 
 def campaign_scores(model: ConversionModel, coded: DataFrame, clean: DataFrame, seed: int = SEED) -> DataFrame:
-    """Score, percentile and readable labels of every customer, training rows included and marked."""
+    """Score, percentile and readable labels of every customer, training rows included and marked.
+
+    Ranks pass over the scores several times, so the scored rows are kept by a checkpoint: the forest meets each row once.
+    """
+    ensure_checkpoint_dir(coded.sparkSession)
     marked = with_split(coded, ID_COL, 0.2, seed, "label") if "label" in coded.columns else coded.withColumn("is_test", F.lit(True))
     scored = score(model.pipeline, marked).withColumn("is_train", ~F.col("is_test"))
     slim = select_existing(scored, [*CAMPAIGN_COLS, "conversion_score", "is_train"])
     readable = overlay(slim, clean, ID_COL, [c for c in CAT_COLS if c in clean.columns])
-    return percentile_rank(readable)
+    return percentile_rank(readable.checkpoint())
 
 
 def train(clean: DataFrame, coded: DataFrame, settings: Mapping[str, tuple[str, dict]] = CLASSIFIERS, seed: int = SEED,

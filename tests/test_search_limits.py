@@ -5,6 +5,7 @@ import threading
 
 import numpy as np
 import pytest
+from pyspark.ml import Transformer
 from pyspark.sql import functions as F
 
 from campaign_engine.operators import shared_forest, supervised
@@ -110,3 +111,23 @@ def test_a_coded_table_with_its_label_is_not_labelled_again(spark, monkeypatch,
     got = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/metrics").orderBy("model").collect()]
     assert got == want and not job.held_out.is_cached
     assert spark.read.parquet(f"{tmp_path}/campaign_scores").count() == 200
+
+
+def test_each_customer_is_scored_once(spark):
+    met = spark.sparkContext.accumulator(0)
+
+    class Counting(Transformer):
+        def _transform(self, df):
+            def chance(a):
+                met.add(1)
+                return [1 - a / 200, a / 200]
+
+            return df.withColumns({"probability": F.udf(chance, "array<double>")("a"), "prediction": F.lit(0.0)})
+
+    coded = spark.createDataFrame([(f"C-{i}", float(i), i % 2) for i in range(200)], "client_id string, a double, gender int")
+    clean = spark.createDataFrame([(f"C-{i}", "f" if i % 2 else "m") for i in range(200)], "client_id string, gender string")
+    rows = training.campaign_scores(supervised.ConversionModel(Counting(), {"a": 0.0}), coded, clean).collect()
+    assert met.value == 200
+    want = [(f"C-{i}", "f" if i % 2 else "m", i / 200, (i + 1) / 200 * 100) for i in range(200)]
+    got = [(r["client_id"], r["gender"], r["conversion_score"], r["score_percentil"]) for r in rows]
+    assert sorted(got) == sorted(want)
