@@ -54,7 +54,7 @@ def training_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def to_fit(df: DataFrame) -> DataFrame:
-    return prep.fit_sample(df, ID_COL, FIT_ROWS)
+    return prep.kept_sample(df, ID_COL, FIT_ROWS)
 
 
 def _standard_sql(cols, source: str, places: int = 9) -> str:

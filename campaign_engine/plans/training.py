@@ -12,7 +12,7 @@ from pyspark.storagelevel import StorageLevel
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import percentile_rank
 from campaign_engine.operators.columns import select_existing
-from campaign_engine.operators.prep import feature_defaults, feature_names, fit_sample, split, with_split
+from campaign_engine.operators.prep import feature_defaults, feature_names, kept_sample, split, with_split
 from campaign_engine.operators.shape import overlay, stack_tagged
 from campaign_engine.operators.shared_forest import Binned, Job, held_out_scores
 from campaign_engine.operators.supervised import (
@@ -67,7 +67,7 @@ def train_classifiers(
     cols = feature_names(data, TARGET_COL)
     train, test = split(data, ID_COL, 0.2, seed, "label")
     parts, forest_model = {}, None
-    bounded = train if fit_rows is None else fit_sample(train, ID_COL, fit_rows)
+    bounded = train if fit_rows is None else kept_sample(train, ID_COL, fit_rows)
 
     def fit(kind: str, params: dict):
         return lambda: fit_classifier(bounded if kind == "rf" else train, kind, cols, params, seed=seed)

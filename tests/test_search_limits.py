@@ -8,7 +8,8 @@ import pytest
 from pyspark.ml import Transformer
 from pyspark.sql import functions as F
 
-from campaign_engine.operators import shared_forest, supervised
+from campaign_engine.catalog import models
+from campaign_engine.operators import order_stats, prep, shared_forest, supervised
 from campaign_engine.operators.tree_growth import Cut, Growth, cut_values, grow, growth_of, leaves, sample_weights
 from campaign_engine.plans import training
 
@@ -131,3 +132,30 @@ def test_each_customer_is_scored_once(spark):
     want = [(f"C-{i}", "f" if i % 2 else "m", i / 200, (i + 1) / 200 * 100) for i in range(200)]
     got = [(r["client_id"], r["gender"], r["conversion_score"], r["score_percentil"]) for r in rows]
     assert sorted(got) == sorted(want)
+
+
+def test_a_fit_passes_the_table_behind_its_sample_once(spark):
+    met = spark.sparkContext.accumulator(0)
+
+    def count(i):
+        met.add(1)
+        return float(i % 2)
+
+    df = spark.range(4_000).select(F.concat(F.lit("C-"), "id").alias("client_id"), F.udf(count, "double")("id").alias("label"), "id")
+    data = df.select("client_id", "label", F.col("id").cast("double").alias("a"))
+    sample = models.to_fit(data)
+    supervised.fit_classifier(sample, "rf", ["a"], {"n_estimators": 2, "max_depth": 2})
+    assert met.value == 4_000 and sample.count() == models.FIT_ROWS
+
+
+def test_cuts_of_many_hashes_are_narrowed_before_one_buffer_holds_them(spark, monkeypatch):
+    data = spark.range(240_000).select(F.concat(F.lit("C-"), "id").alias("client_id"), (F.col("id") % 3 == 0).cast("double").alias("label"))
+    whole = prep.with_split(data, "client_id", 0.2, stratify="label", limit=1_000_000)
+    held, narrow = [], order_stats._narrow
+    monkeypatch.setattr(order_stats, "_narrow", lambda df, asks: (narrow(df, asks), held.extend(a.inside for a in asks)))
+    split = prep.with_split(data, "client_id", 0.2, stratify="label")
+    # the class of 160,000 rows is narrowed, that of 80,000 fits a buffer
+    assert len(held) == 2 and max(held) < 1_000
+    sizes = split.filter("is_test").groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in sizes} == {0.0: 32_000, 1.0: 16_000}
+    assert split.join(whole.withColumnRenamed("is_test", "was"), "client_id").filter("is_test <> was").isEmpty()
