@@ -31,9 +31,7 @@ def _spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     last_order = orders.agg(F.max("o_orderdate")).scalar()
     recent = F.col("o_orderdate") >= last_order - F.expr("interval 90 days")
-    pairs = orders.filter(F.col("o_orderpriority").isNotNull()).select("o_custkey", "o_orderpriority").distinct()
-    first = pairs.groupBy("o_custkey").agg(F.array_min(F.collect_set("o_orderpriority")).alias("priority"))
-    sums = (
+    return (
         orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
         .groupBy("o_custkey")
         .agg(
@@ -42,9 +40,9 @@ def _spend(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(recent).alias("n_recent"),
             F.sum("revenue").alias("revenue"),
             F.sum("returned").alias("returned"),
+            F.min("o_orderpriority").alias("priority"),
         )
     )
-    return sums.join(first, "o_custkey", "left")
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
