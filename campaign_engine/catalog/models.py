@@ -1,8 +1,8 @@
 """Model queries, with the settings of the plans and of the named searches.
 
-Models that are kept for scoring are classifiers fitted on at most ``FIT_ROWS`` labelled rows, picked by a hash of the
-key. Searches, comparisons and screening learn all rows of their training parts, as regressors do, and score every
-held-out row. Forests, folds, draws and feature sets are whole.
+The forests of ``rf_classifier``, ``cv_accuracy``, ``model_metrics``, ``model_reports`` and ``training_job`` are fitted on
+at most ``FIT_ROWS`` labelled rows, picked by a hash of the key. All other models learn all rows of their training parts,
+and score every held-out row. Forests, folds, draws and feature sets are whole.
 """
 
 from __future__ import annotations
@@ -492,7 +492,7 @@ def _deep_tune_top(spark, sf_dir):
 
 def _model(spark, sf_dir) -> supervised.ConversionModel:
     forest = {"Random Forest": training.CLASSIFIERS["Random Forest"]}
-    return training.train_classifiers(coded(spark, sf_dir), forest, fit_rows=FIT_ROWS)[0]
+    return training.train_classifiers(coded(spark, sf_dir), forest)[0]
 
 
 @query("score_all")

@@ -12,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 from campaign_engine.operators import metrics
 from campaign_engine.operators.campaign import percentile_rank
 from campaign_engine.operators.columns import select_existing
+from campaign_engine.operators.kept_forest import fit_forest
 from campaign_engine.operators.prep import feature_defaults, feature_names, kept_sample, split, with_split
 from campaign_engine.operators.shape import overlay, stack_tagged
 from campaign_engine.operators.shared_forest import Binned, Job, held_out_scores
@@ -62,15 +63,17 @@ def train_classifiers(
 ) -> tuple[ConversionModel, DataFrame]:
     """(the forest with its feature defaults, (model, client_id, label, conversion_score, prediction) of the test part).
 
-    ``fit_rows`` bounds the rows of a kept forest; logistic regression learns the whole training part.
+    Models learn the whole training part; ``fit_rows`` bounds the rows of a kept forest.
     """
     cols = feature_names(data, TARGET_COL)
     train, test = split(data, ID_COL, 0.2, seed, "label")
     parts, forest_model = {}, None
-    bounded = train if fit_rows is None else kept_sample(train, ID_COL, fit_rows)
+    bounded = None if fit_rows is None else kept_sample(train, ID_COL, fit_rows)
 
     def fit(kind: str, params: dict):
-        return lambda: fit_classifier(bounded if kind == "rf" else train, kind, cols, params, seed=seed)
+        if kind != "rf":
+            return lambda: fit_classifier(train, kind, cols, params, seed=seed)
+        return lambda: fit_forest(train, cols, params, seed=seed) if bounded is None else fit_classifier(bounded, kind, cols, params, seed=seed)
 
     for (name, (kind, _)), fitted in zip(settings.items(), in_parallel([fit(*s) for s in settings.values()])):
         parts[name] = score(fitted, test).select(ID_COL, "label", "conversion_score", "prediction")
