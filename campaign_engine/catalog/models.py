@@ -1,8 +1,8 @@
 """Model queries, with the settings of the plans and of the named searches.
 
-The forests of ``rf_classifier``, ``cv_accuracy``, ``model_metrics``, ``model_reports`` and ``training_job`` are fitted on
-at most ``FIT_ROWS`` labelled rows, picked by a hash of the key. All other models learn all rows of their training parts,
-and score every held-out row. Forests, folds, draws and feature sets are whole.
+The forests of ``rf_classifier``, ``model_metrics``, ``model_reports`` and ``training_job`` are fitted on at most
+``FIT_ROWS`` labelled rows, picked by a hash of the key. All other models learn all rows of their training parts, and score every held-out row.
+Forests, folds, draws and feature sets are whole.
 """
 
 from __future__ import annotations
@@ -422,9 +422,7 @@ def _regression_compare(spark, sf_dir):
 @query("cv_accuracy")
 def _cv_accuracy(spark, sf_dir):
     settings = training.CLASSIFIERS["Random Forest"][1]
-    return supervised.cross_val(
-        coded(spark, sf_dir), lambda train: supervised.fit_classifier(to_fit(train), "rf", BEHAVIOUR_COLS, settings), 5
-    )
+    return supervised.cross_val(coded(spark, sf_dir), supervised.ForestFit(BEHAVIOUR_COLS, settings), 5)
 
 
 @query("cv_summary")

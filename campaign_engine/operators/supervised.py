@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from campaign_engine.operators import logistic, metrics
+from campaign_engine.operators.kept_forest import fit_forest
 from campaign_engine.operators.prep import class_weights, moments, prepare_features, with_fold, with_weight
+from campaign_engine.operators.shared_forest import Binned, Job, held_out_scores
+from campaign_engine.operators.tree_growth import growth_of
 from campaign_engine.schemas import DEFAULT_THRESHOLD, ID_COL, SEED
 from campaign_engine.session import in_parallel
 
@@ -97,6 +100,34 @@ def fit_classifier(
     return PipelineModel([*stages, model.fit(prepared)])
 
 
+@dataclass(frozen=True)
+class ForestFit:
+    """Fits a kept forest that learns all rows."""
+
+    cols: Sequence[str]
+    params: Mapping
+
+    def __call__(self, train: DataFrame) -> PipelineModel:
+        return fit_forest(train, self.cols, self.params)
+
+    def fold_accuracy(self, folds: DataFrame, k: int, key: str, label: str, seed: int) -> DataFrame:
+        """(fold, accuracy) of forests that learn all rows of the other folds.
+
+        Rows that repeat a key are told apart by their features, so each has its own score.
+        """
+        growth, cut, trees = growth_of(dict(self.params), range(len(self.cols)))
+        row = folds.select("fold", F.xxhash64(key, *self.cols).alias("_row"), F.col(label).cast("double").alias("y"), *self.cols)
+        data = Binned(row, self.cols, "_row", "y", "fold")
+        try:
+            found = held_out_scores(data, [Job(growth, cut, trees, tuple(range(k)))], seed)
+            own = row.select("fold", F.xxhash64("_row").alias("hash"), "y").join(found, ["fold", "hash", "y"])
+            right = ((F.col("score") > 0.5).cast("double") == F.col("y")).cast("double")
+            rows = {r["fold"]: r["accuracy"] for r in own.groupBy("fold").agg(F.avg(right).alias("accuracy")).collect()}  # one row per fold
+        finally:
+            data.unpersist()
+        return folds.sparkSession.createDataFrame([(i, rows.get(i)) for i in range(k)], "fold int, accuracy double")
+
+
 def fit_regressor(
     df: DataFrame, kind: str, cols: Sequence[str], target: str, trees: int = 120, seed: int = SEED, depth: int = MAX_DEPTH
 ) -> PipelineModel:
@@ -143,8 +174,13 @@ def cross_val(
     seed: int = SEED,
     width: int = 8,
 ) -> DataFrame:
-    """(fold, accuracy) of each held-out fold, up to ``width`` of them side by side; keep ``df`` persisted."""
+    """(fold, accuracy) of each held-out fold, up to ``width`` of them side by side; keep ``df`` persisted.
+
+    The forests of a ``ForestFit`` are jobs on one binned table.
+    """
     folds = with_fold(df, key, k, seed, label)
+    if isinstance(fit, ForestFit):
+        return fit.fold_accuracy(folds, k, key, label, seed)
 
     def one(i: int) -> Callable[[], tuple[int, float]]:
         def run() -> tuple[int, float]:

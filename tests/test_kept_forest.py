@@ -67,7 +67,7 @@ def test_kept_forests_are_saved_and_score_streams(spark, data, tmp_path):
 def learnt(data, monkeypatch):
     """Rows that each forest learns while queries run on ``data`` with a small ``FIT_ROWS``."""
     found, real = [], shared_forest.Binned
-    for place in (kept_forest,):
+    for place in (kept_forest, supervised):
         monkeypatch.setattr(place, "Binned", lambda *a: found.append(real(*a)) or found[-1])
     clean = data.select("client_id", F.when(F.col("label") == 1, "Annual").otherwise("Monthly").alias(TARGET_COL))
     whole = data.fillna(0.0).withColumn("total_spent", F.col("a"))
@@ -84,3 +84,23 @@ def test_campaign_scores_learn_the_whole_training_part(spark, learnt):
     rows = models._campaign_scores(spark, "").collect()
     assert [b.rows for b in learnt] == [320] and len(rows) == 400 and sum(r["is_train"] for r in rows) == 320
     assert all(0 <= r["conversion_score"] <= 1 for r in rows) and len({r["conversion_score"] for r in rows}) > 3
+
+
+def test_cross_validation_learns_and_scores_every_row(spark, data, learnt):
+    rows = models._cv_accuracy(spark, "").collect()
+    assert [b.rows for b in learnt] == [400] and [r["fold"] for r in rows] == [0, 1, 2, 3, 4]
+    assert all(r["accuracy"] > 0.85 for r in rows)
+
+
+def test_rows_that_repeat_a_key_have_their_own_scores_in_cross_validation(spark):
+    """Of each pair under one key and label, one row follows its feature and one doesn't."""
+    rows = [(f"C-{i}", float(i % 2 * 2 - 1), float(i % 2)) for i in range(200)] + [(f"D-{i}", v, 1.0) for i in range(30) for v in (-1.0, 1.0)]
+    df = spark.createDataFrame(rows * 2, "client_id string, a double, label double")  # and every row comes twice
+    want = {
+        r["fold"]: r["right"]
+        for r in prep.with_fold(df, "client_id", 3, stratify="label").groupBy("fold").agg(
+            F.avg(((F.col("a") > 0).cast("double") == F.col("label")).cast("double")).alias("right")
+        ).collect()
+    }
+    found = supervised.cross_val(df, supervised.ForestFit(["a"], {"n_estimators": 5}), 3).collect()
+    assert {r["fold"]: r["accuracy"] for r in found} == pytest.approx(want) and min(want.values()) < 0.97
