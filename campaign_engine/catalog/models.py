@@ -1,7 +1,7 @@
 """Model queries, with the settings of the plans and of the named searches.
 
-The forests of ``rf_classifier``, ``model_metrics``, ``model_reports`` and ``training_job`` are fitted on at most
-``FIT_ROWS`` labelled rows, picked by a hash of the key. All other models learn all rows of their training parts, and score every held-out row.
+The forests of ``rf_classifier``, ``model_metrics`` and ``model_reports`` are fitted on at most ``FIT_ROWS`` labelled rows,
+picked by a hash of the key. All other models learn all rows of their training parts, and score every held-out row.
 Forests, folds, draws and feature sets are whole.
 """
 
@@ -527,9 +527,9 @@ def _model_reports(spark, sf_dir):
 
 @query("training_job")
 def _training_job(spark, sf_dir):
-    """All steps: models (fitted on ``FIT_ROWS`` rows), metrics, reports and scores of all rows are written; the metrics
-    are read back."""
+    """All steps: models of the whole training part, metrics, reports and scores of all rows are written; the metrics are
+    read back."""
     clean, codes = training_tables(spark, sf_dir)
     path = scratch(spark, "training-job")
-    training.train(clean, codes, fit_rows=FIT_ROWS).write(path)
+    training.train(clean, codes).write(path)
     return spark.read.parquet(f"{path}/metrics")

@@ -104,3 +104,9 @@ def test_rows_that_repeat_a_key_have_their_own_scores_in_cross_validation(spark)
     }
     found = supervised.cross_val(df, supervised.ForestFit(["a"], {"n_estimators": 5}), 3).collect()
     assert {r["fold"]: r["accuracy"] for r in found} == pytest.approx(want) and min(want.values()) < 0.97
+
+
+def test_training_job_learns_the_whole_training_part(spark, learnt):
+    rows = models._training_job(spark, "").collect()
+    assert [b.rows for b in learnt] == [320] and {r["model"] for r in rows} == set(training.CLASSIFIERS)
+    assert all(r["tn"] + r["fp"] + r["fn"] + r["tp"] == 80 and r["roc_auc"] > 0.9 for r in rows)
